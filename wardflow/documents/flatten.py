@@ -160,7 +160,10 @@ def open_documents(
     if not strict:
         schema = schema.add(MALFORMED, "string")
         options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED}
-    return docs.withColumn("_doc", F.from_json(text, schema, options))
+    parsed = F.from_json(text, schema, options)
+    # A one-element explode: filters on parsed values cannot be pushed below it, where the
+    # optimizer would parse the document again for each value they use.
+    return docs.select("*", F.explode(F.array(parsed)).alias("_doc"))
 
 
 def is_malformed(body: str) -> Column:

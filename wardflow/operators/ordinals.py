@@ -77,14 +77,18 @@ def rotation_windows(df: DataFrame, ts: str, length: str = "60 seconds") -> Data
 def fan_out(df: DataFrame, copies: Column | int, name: str = "n", chunk: int = 10_000) -> DataFrame:
     """``copies`` rows per row, numbered 1, 2, … in ``name``.
 
-    Numbers are made in chunks, so that no row ever builds an array longer than the chunk.
+    Numbers are made in chunks, so that no row ever builds an array longer than the chunk, and the
+    chunks are dealt out over all tasks before they grow: a short frame may sit in one partition,
+    and one row may ask for most of the copies.
     """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     total = (copies if isinstance(copies, Column) else F.lit(copies)).cast("long")
     last_chunk = F.floor((F.col("_total") - 1) / F.lit(chunk))
     return (
         df.withColumn("_total", total)
         .filter(F.col("_total") >= 1)
         .withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), last_chunk)))
+        .repartition(tasks)
         .withColumn(
             name,
             F.explode(

@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+_FOLDERS: dict[str, str] = {}
+
 
 def build_session(app: str, master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the jobs rely on; keyword names use ``__`` for dots."""
@@ -41,14 +43,16 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local master may fall back to a folder of this machine.
     """
     context = spark.sparkContext
+    if context.applicationId in _FOLDERS:
+        return _FOLDERS[context.applicationId]
     configured = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if configured:
-        return configured.rstrip("/")
+        return _FOLDERS.setdefault(context.applicationId, configured.rstrip("/"))
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
     folder = tempfile.mkdtemp(prefix="wardflow-")
     context.setCheckpointDir(folder)
-    return folder
+    return _FOLDERS.setdefault(context.applicationId, folder)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

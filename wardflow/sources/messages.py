@@ -38,7 +38,8 @@ def decode_messages(df: DataFrame, schema: T.StructType, keep: Sequence[str] = (
         _ddl(with_corrupt),
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "escape": '"'},
     )
-    return df.select(*keep, parsed.alias("_row")).select(*keep, "_row.*")
+    # The one-element explode keeps later filters from parsing the line again.
+    return df.select(*keep, F.explode(F.array(parsed)).alias("_row")).select(*keep, "_row.*")
 
 
 def split_corrupt(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
