@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,31 +38,25 @@ def null_key_spread(keys: Sequence[str]) -> Column:
     return F.when(absent, F.monotonically_increasing_id() + 1).otherwise(F.lit(0).cast("long"))
 
 
+def ranked_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``latest_per_key`` with its ``_spread`` column, partitioned and sorted by key and spread."""
+    ties = [
+        f.name
+        for f in df.schema
+        if f.name not in (*keys, *order) and not isinstance(f.dataType, (T.VariantType, T.MapType))
+    ]
+    rank = W.partitionBy(*keys, "_spread").orderBy(*[F.desc(c) for c in (*order, *ties)])
+    ranked = df.withColumn("_spread", null_key_spread(keys)).withColumn(
+        "_rank", F.row_number().over(rank)
+    )
+    return ranked.filter(F.col("_rank") == 1).drop("_rank")
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key, the one with the greatest ``order``; the last write wins.
 
-    An aggregate rather than a ranking window: each map task already reduces a key it holds many
-    versions of to one row. Rows with equal ``order`` are decided by their content, so the result
-    does not depend on arrival.
+    Spark turns the filter on the rank into a group limit in front of the shuffle, so each map task
+    passes on one row per key, however many versions of it there are. Rows with equal ``order`` are
+    decided by their other columns (documents aside), not by arrival.
     """
-    rest = [f for f in df.schema if f.name not in keys]
-    tie = [_comparable(f) for f in rest if f.name not in order]
-    spread = df.withColumn("_spread", null_key_spread(keys))
-    newest = spread.groupBy(*keys, "_spread").agg(
-        F.max_by(
-            F.struct(*[F.col(f.name) for f in rest]),
-            F.struct(*[F.col(o) for o in order], *tie),
-        ).alias("_row")
-    )
-    return newest.select(
-        *[F.col(c) if c in keys else F.col("_row").getField(c).alias(c) for c in df.columns]
-    )
-
-
-def _comparable(field: T.StructField) -> Column:
-    """The column in a form that can be ordered and compared."""
-    if isinstance(field.dataType, T.VariantType):
-        return F.to_json(F.col(field.name)).alias(field.name)
-    if isinstance(field.dataType, T.MapType):
-        return F.sort_array(F.map_entries(F.col(field.name))).alias(field.name)
-    return F.col(field.name)
+    return ranked_first(df, keys, order).drop("_spread")

@@ -20,22 +20,13 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardflow.operators.keys import latest_per_key, null_key_spread
+from wardflow.operators.keys import latest_per_key, null_key_spread, ranked_first
 
 INSERT = "INSERT"
 UPDATE = "UPDATE"
 DELETE = "DELETE"
 
 
-def latest_change(
-    changes: DataFrame, keys: Sequence[str], action_col: str = "action", seq_col: str | None = None
-) -> DataFrame:
-    """At most one change per key: the newest by ``seq_col``, or the changes as given without it."""
-    if seq_col is None:
-        return changes
-    return latest_per_key(changes, keys, [seq_col]).drop(seq_col)
-
-
 def merge_changes(
     target: DataFrame,
     changes: DataFrame,
@@ -43,13 +34,20 @@ def merge_changes(
     action_col: str = "action",
     seq_col: str | None = None,
 ) -> DataFrame:
-    """The target after the changes, as one full outer join on the key."""
+    """The target after the changes, as one full outer join on the key.
+
+    With ``seq_col`` the newest change of a key counts; without it there must be one per key. The
+    join uses the partitioning that finding the newest change has made.
+    """
     columns = target.columns
-    newest = latest_change(changes, keys, action_col, seq_col).select(*columns, action_col)
+    if seq_col is None:
+        newest = changes.withColumn("_spread", null_key_spread(keys))
+    else:
+        newest = ranked_first(changes, keys, [seq_col])
     old = target.withColumn("_spread", null_key_spread(keys)).select(
         *keys, "_spread", F.struct(*columns).alias("_old")
     )
-    new = newest.withColumn("_spread", null_key_spread(keys)).select(
+    new = newest.select(
         *keys, "_spread", F.struct(*columns).alias("_new"), F.col(action_col).alias("_action")
     )
     joined = old.join(new, [*keys, "_spread"], "full_outer")

@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 from wardflow.operators.merge import empty_like
 
 
-def append_rows(df: DataFrame, path: str) -> int:
+def append_rows(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
     """Append to a Parquet folder and return how many rows went there, in one pass."""
     seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(path)
+    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
     return seen.get["rows"]
 
 
@@ -25,11 +28,9 @@ def append_if_any(df: DataFrame, path: str) -> bool:
     return True
 
 
-def append_quarantine(df: DataFrame, path: str, dataset: str) -> None:
-    """Append incomplete rows of one data set to the quarantine shared by all of them."""
-    df.withColumn("dataset", F.lit(dataset)).write.mode("append").partitionBy("dataset").parquet(
-        path
-    )
+def append_quarantine(df: DataFrame, path: str, dataset: str) -> int:
+    """Append incomplete rows of one data set to the quarantine shared by all; returns how many."""
+    return append_rows(df.withColumn("dataset", F.lit(dataset)), path, ["dataset"])
 
 
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
