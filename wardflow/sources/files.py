@@ -72,8 +72,7 @@ def read_documents(
     lines = (
         spark.read.option("pathGlobFilter", glob)
         .option("recursiveFileLookup", True)
-        .option("wholetext", one_per_file)
-        .text(path)
+        .text(path, wholetext=one_per_file)
     )
     staged = lines.select(
         F.col("_metadata.file_path").alias("folder_name"),
