@@ -253,7 +253,7 @@ def build_practitioner_role(practices: DataFrame, inputs: Inputs) -> DataFrame:
 
 
 def share_per_practice(practices: DataFrame, total: Column | int) -> Column:
-    """Equal whole share of ``total`` for each practice; the count is a scalar subquery."""
+    """Equal whole share of ``total`` for each practice; the practices are only counted here."""
     wanted = total if isinstance(total, Column) else F.lit(total)
     return F.floor(wanted / practices.agg(F.count("*")).scalar())
 

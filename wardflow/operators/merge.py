@@ -20,7 +20,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardflow.operators.keys import latest_per_key, null_key_spread, ranked_first
+from wardflow.operators.keys import null_key_spread, ranked_first
 
 INSERT = "INSERT"
 UPDATE = "UPDATE"
@@ -98,11 +98,19 @@ def as_inserts(df: DataFrame) -> DataFrame:
     return df.withColumn("action", F.lit(INSERT))
 
 
-def put_resources(store: DataFrame, puts: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def put_resources(
+    store: DataFrame, puts: DataFrame, keys: Sequence[str], order: Sequence[str]
+) -> DataFrame:
     """Idempotent put by key: a put replaces what is stored under its key, the last one wins."""
-    newest = latest_per_key(puts, keys, order).select(*store.columns)
-    untouched = store.join(newest.select(*keys), list(keys), "left_anti")
-    return untouched.unionByName(newest)
+    columns = store.columns
+    new = ranked_first(puts, keys, order).select(
+        *keys, "_spread", F.struct(*columns).alias("_new")
+    )
+    old = store.withColumn("_spread", null_key_spread(keys)).select(
+        *keys, "_spread", F.struct(*columns).alias("_old")
+    )
+    both = old.join(new, [*keys, "_spread"], "full_outer")
+    return both.select(F.coalesce("_new", "_old").alias("_row")).select("_row.*")
 
 
 def empty_like(df: DataFrame) -> DataFrame:

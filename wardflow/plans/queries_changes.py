@@ -111,13 +111,14 @@ def latest_versions(spark, sf_dir):
 
 @query(
     "put_resources",
-    f"""with {TARGET_SQL}, {CHANGES_SQL}, {VERSIONED_SQL}, {_NEWEST}
-    select {_COLS} from target where o_orderkey not in (select o_orderkey from newest where action <> 'DELETE')
-    union all select {_COLS} from newest where action <> 'DELETE'""",
+    f"""with {TARGET_SQL}, {CHANGES_SQL}, {VERSIONED_SQL}, puts as (
+      select * from versioned where action <> 'DELETE'
+      qualify row_number() over (partition by o_orderkey order by seq desc) = 1)
+    select {_COLS} from target where o_orderkey not in (select o_orderkey from puts)
+    union all select {_COLS} from puts""",
 )
 def put_resources_query(spark, sf_dir):
-    newest = latest_per_key(versioned_changes(spark, sf_dir), ["o_orderkey"], ["seq"])
-    puts = newest.filter(F.col("action") != "DELETE")
+    puts = versioned_changes(spark, sf_dir).filter(F.col("action") != "DELETE")
     return put_resources(processed(spark, sf_dir), puts, ["o_orderkey"], ["seq"])
 
 

@@ -201,11 +201,10 @@ def build_practitioner_role(spark, sf_dir):
 
 def _copies(spark, sf_dir, name: str, key: str):
     """Numbered copies of the practices, as many as the named table has rows, joined with them."""
-    register = d.register(spark, sf_dir)
-    source = d.table(spark, sf_dir, name)
     total = d.table(spark, sf_dir, name).agg(F.count("*")).scalar()
-    rows = build.numbered_copies(register, build.share_per_practice(register, total))
-    return rows.join(source, F.col("counter") == F.col(key) + 1)
+    each = build.share_per_practice(d.table(spark, sf_dir, "supplier"), total)
+    rows = build.numbered_copies(d.register(spark, sf_dir), each)
+    return rows.join(d.table(spark, sf_dir, name), F.col("counter") == F.col(key) + 1)
 
 
 def _copies_sql(name: str, key: str) -> str:

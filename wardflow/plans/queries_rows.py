@@ -18,7 +18,7 @@ from wardflow.operators.quality import (
 from wardflow.plans import standins as d
 from wardflow.plans.catalog import query
 from wardflow.plans.standins import with_tables
-from wardflow.session import scratch_path
+from wardflow.session import materialize, scratch_path
 from wardflow.sinks.files import append_quarantine, quarantine_union, read_quarantine
 from wardflow.sources.files import from_folder
 from wardflow.sources.messages import CORRUPT, decode_messages, encode_messages
@@ -216,9 +216,9 @@ def fanned_counters(spark, sf_dir):
     from wardflow.documents.build import numbered_copies, share_per_practice
     from wardflow.functions.numbers import wrapped
 
-    register = d.register(spark, sf_dir)
     customers = d.table(spark, sf_dir, "customer").agg(F.count("*")).scalar()
-    rows = numbered_copies(register, share_per_practice(register, customers))
+    each = share_per_practice(d.table(spark, sf_dir, "supplier"), customers)
+    rows = numbered_copies(d.register(spark, sf_dir), each)
     return rows.select("PracticeCode", "n", "counter", wrapped("counter").alias("number"))
 
 
@@ -226,14 +226,15 @@ _PAGE_LIMIT = 30
 
 
 def _register_pages(spark, sf_dir):
-    """The register as the service would hand it out; a page never holds more than its limit."""
+    """The register as landed from its service; a page never holds more than its limit."""
     practices = d.practices(spark, sf_dir)
     page_no = F.expr(f"PracticeCode div {_PAGE_LIMIT}")
-    return (
+    pages = (
         practices.groupBy(page_no.alias("page_no"))
         .agg(F.array_sort(F.collect_list(F.struct(*practices.columns))).alias("records"))
         .select("page_no", F.struct("records").alias("result"))
     )
+    return materialize(pages, "pages")
 
 
 @query(

@@ -180,3 +180,41 @@ def stream_load_organizations(spark, sf_dir):
     job.awaitTermination()
     loaded = spark.read.parquet(path)
     return loaded.select("id", "organization_name", "state", "website")
+
+
+@query(
+    "staged_documents",
+    with_tables(
+        "practices",
+        body="""
+        select 'Endpoint' as folder, count(*) as document_count,
+          count(*) filter (where "TelephoneNumber" is null) as without_number from practices
+        union all
+        select 'Organization', count(*), count(*) filter (where "TelephoneNumber" is null) from practices""",
+    ),
+)
+def staged_documents(spark, sf_dir):
+    """All documents of a store staged at once, then told apart by the folder they lie in."""
+    from wardflow.documents.build import build_endpoint, build_organization
+    from wardflow.sources.files import from_folder, read_documents
+
+    root = scratch_path(spark, "store")
+    practices = d.practices(spark, sf_dir)
+    start = F.lit("2024-01-01").cast("date")
+    inputs = {"family": F.lit("F"), "given": F.lit("G"), "phone": F.lit("none")}
+    dates = {"status": F.lit("active"), "start": start, "end": start}
+    write_resources(build_organization(practices, inputs), root, "Organization")
+    write_resources(build_endpoint(practices, {**inputs, **dates}), root, "Endpoint")
+    staged = read_documents(spark, root)
+
+    def counted(folder: str, number_path: str):
+        number = F.get_json_object("raw_data", number_path)
+        return from_folder(staged, folder).agg(
+            F.lit(folder).alias("folder"),
+            F.count("*").alias("document_count"),
+            F.count_if(number == "none").alias("without_number"),
+        )
+
+    return counted("Endpoint", "$.contact[0].value").unionByName(
+        counted("Organization", "$.contact[0].telecom[1].value")
+    )
