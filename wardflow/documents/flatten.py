@@ -173,14 +173,12 @@ def is_malformed(body: str) -> Column:
 
 def at(path: str) -> Column:
     """The value at a path of an opened document; null beyond the end of an array."""
-    node = F.col("_doc")
-    for part in path.split("."):
-        name, *indexes = re.split(r"\[|\]\[|\]", part.removesuffix("[]"))
-        node = node.getField(name)
-        for index in indexes:
-            if index:
-                node = F.get(node, F.lit(int(index)))
-    return node
+    node = "_doc"
+    for name, indexes in ((m[1], m[2]) for m in _STEP.finditer(path)):
+        node = f"{node}.`{name}`"
+        for index in re.findall(r"\d+", indexes):
+            node = f"get({node}, {index})"
+    return F.expr(node)
 
 
 def _text(target: Target) -> Column:

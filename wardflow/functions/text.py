@@ -71,10 +71,15 @@ def practitioner_key(practice_code: Column | str, number: Column | str | None =
     return stem if number is None else F.concat(stem, as_column(number).cast("string"))
 
 
+def text_literal(value: str) -> str:
+    """A text as an SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def lookup(code: Column | str, table: Mapping[str, str]) -> Column:
     """Display text of a code; null for codes outside the (fixed, short) table."""
-    pairs = [F.lit(item) for pair in table.items() for item in pair]
-    return F.try_element_at(F.create_map(*pairs), as_column(code))
+    items = ", ".join(text_literal(item) for pair in table.items() for item in pair)
+    return F.try_element_at(F.expr(f"map({items})"), as_column(code))
 
 
 def email_of(stem: Column, domain: str = "nhs.scot.co.uk") -> Column:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -26,16 +28,22 @@ def skip_processed(df: DataFrame, done: DataFrame, key: str) -> DataFrame:
     return df.join(done.select(key), key, "left_anti")
 
 
-def null_key_spread(keys: Sequence[str]) -> Column:
-    """0 for rows with a full key, else a number of their own.
+def null_key_spread(df: DataFrame, keys: Sequence[str]) -> Column:
+    """0 for rows with a full key, else a hash of the whole row.
 
     Added to a grouping or join key, it keeps rows with a null key apart (they match nothing) and
-    spreads them over all partitions.
+    spreads them over all partitions. It depends on content only, so a task that is run again sends
+    every row to the same place.
     """
-    absent = F.lit(False)
-    for key in keys:
-        absent = absent | F.col(key).isNull()
-    return F.when(absent, F.monotonically_increasing_id() + 1).otherwise(F.lit(0).cast("long"))
+
+    def content(field: T.StructField) -> Column:
+        if isinstance(field.dataType, (T.VariantType, T.MapType)):
+            return F.to_json(F.col(field.name))
+        return F.col(field.name)
+
+    absent = reduce(or_, [F.col(key).isNull() for key in keys])
+    row_hash = F.xxhash64(*[content(f) for f in df.schema])
+    return F.when(absent, row_hash).otherwise(F.lit(0).cast("long"))
 
 
 def ranked_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -46,7 +54,7 @@ def ranked_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Da
         if f.name not in (*keys, *order) and not isinstance(f.dataType, (T.VariantType, T.MapType))
     ]
     rank = W.partitionBy(*keys, "_spread").orderBy(*[F.desc(c) for c in (*order, *ties)])
-    ranked = df.withColumn("_spread", null_key_spread(keys)).withColumn(
+    ranked = df.withColumn("_spread", null_key_spread(df, keys)).withColumn(
         "_rank", F.row_number().over(rank)
     )
     return ranked.filter(F.col("_rank") == 1).drop("_rank")
@@ -57,6 +65,7 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
 
     Spark turns the filter on the rank into a group limit in front of the shuffle, so each map task
     passes on one row per key, however many versions of it there are. Rows with equal ``order`` are
-    decided by their other columns (documents aside), not by arrival.
+    decided by their other columns (documents aside), not by arrival. Rows with a null key are all
+    kept, exact copies of one of them once.
     """
     return ranked_first(df, keys, order).drop("_spread")

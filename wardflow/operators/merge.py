@@ -41,10 +41,10 @@ def merge_changes(
     """
     columns = target.columns
     if seq_col is None:
-        newest = changes.withColumn("_spread", null_key_spread(keys))
+        newest = changes.withColumn("_spread", null_key_spread(changes, keys))
     else:
         newest = ranked_first(changes, keys, [seq_col])
-    old = target.withColumn("_spread", null_key_spread(keys)).select(
+    old = target.withColumn("_spread", null_key_spread(target, keys)).select(
         *keys, "_spread", F.struct(*columns).alias("_old")
     )
     new = newest.select(
@@ -64,9 +64,13 @@ def snapshot_changes(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> Dat
     A deleted row carries its last values.
     """
     columns = new.columns
-    left = old.select(*keys, F.struct(*[F.col(c) for c in columns]).alias("_old"))
-    right = new.select(*keys, F.struct(*[F.col(c) for c in columns]).alias("_new"))
-    both = left.join(right, list(keys), "full_outer")
+    left = old.withColumn("_spread", null_key_spread(old, keys)).select(
+        *keys, "_spread", F.struct(*columns).alias("_old")
+    )
+    right = new.withColumn("_spread", null_key_spread(new, keys)).select(
+        *keys, "_spread", F.struct(*columns).alias("_new")
+    )
+    both = left.join(right, [*keys, "_spread"], "full_outer")
     differs = reduce(or_, _differences(new, keys), F.lit(False))
     action = (
         F.when(F.col("_old").isNull(), INSERT)
@@ -106,7 +110,7 @@ def put_resources(
     new = ranked_first(puts, keys, order).select(
         *keys, "_spread", F.struct(*columns).alias("_new")
     )
-    old = store.withColumn("_spread", null_key_spread(keys)).select(
+    old = store.withColumn("_spread", null_key_spread(store, keys)).select(
         *keys, "_spread", F.struct(*columns).alias("_old")
     )
     both = old.join(new, [*keys, "_spread"], "full_outer")

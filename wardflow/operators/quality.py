@@ -77,23 +77,14 @@ def cast_or_reject(
     A reject keeps its columns as they came plus ``bad_columns``, the names that failed. Columns
     listed in ``keep`` are carried along untouched.
     """
-    typed = {f.name: _try_cast(f) for f in schema}
-    bad = F.filter(
-        F.array(
-            *[
-                F.when(F.col(f.name).isNotNull() & typed[f.name].isNull(), F.lit(f.name))
-                for f in schema
-            ]
-        ),
-        lambda name: name.isNotNull(),
-    )
-    checked = df.withColumn("bad_columns", bad)
-    good = checked.filter(F.size("bad_columns") == 0).select(
-        *keep, *[typed[f.name].alias(f.name) for f in schema]
-    )
-    rejects = checked.filter(F.size("bad_columns") > 0)
+    casts = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema]
+    # The one-element explode makes every cast once, whatever is filtered on afterwards.
+    opened = df.select("*", F.explode(F.array(F.struct(*casts))).alias("_typed"))
+    lost = [
+        F.when(F.col(f.name).isNotNull() & F.col(f"_typed.{f.name}").isNull(), F.lit(f.name))
+        for f in schema
+    ]
+    bad = F.filter(F.array(*lost), lambda name: name.isNotNull())
+    good = opened.filter(F.size(bad) == 0).select(*keep, "_typed.*")
+    rejects = opened.filter(F.size(bad) > 0).select(*df.columns, bad.alias("bad_columns"))
     return good, rejects
-
-
-def _try_cast(field: T.StructField) -> Column:
-    return F.col(field.name).try_cast(field.dataType)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.functions.text import padded_id
+from wardflow.functions.text import padded_id, text_literal
 from wardflow.operators.ordinals import with_ordinal
 from wardflow.session import pin_utc
 
@@ -20,7 +20,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def pick(options: tuple[str, ...], index: Column) -> Column:
     """The option at a number, counting round."""
-    return F.get(F.array(*[F.lit(o) for o in options]), F.pmod(index, F.lit(len(options))).cast("int"))
+    listed = F.expr("array(" + ", ".join(text_literal(o) for o in options) + ")")
+    return F.get(listed, F.pmod(index, F.lit(len(options))).cast("int"))
 
 
 def sql_list(options: tuple[str, ...]) -> str:
