@@ -68,8 +68,14 @@ def test_csv_batches_have_headers_and_read_back(spark, tmp_path):
     write_topic(topic, "0.txt", [1, 2], header=True)
     write_topic(topic, "1.txt", [3])
     out = tmp_path / "csv"
-    job = write_csv_batches(messages(spark, topic, 1), CALLS, str(out), str(tmp_path / "progress"))
+    audit = str(tmp_path / "audit")
+    job = write_csv_batches(
+        messages(spark, topic, 1), CALLS, str(out), str(tmp_path / "progress"), audit, "calls"
+    )
     job.awaitTermination()
+    noted = {r.file_name: r.row_count for r in load_audit(spark, audit, "calls").collect()}
+    assert set(noted) == {f"{out}/batch_id=0", f"{out}/batch_id=1"}
+    assert sorted(noted.values()) == [1, 3]
     assert sorted(p.name for p in out.iterdir()) == ["batch_id=0", "batch_id=1"]
     for file in out.glob("*/part-*.csv"):
         assert file.read_text().splitlines()[0] == header_line(CALLS)
@@ -108,3 +114,17 @@ def test_documents_arrive_as_a_stream(spark, tmp_path):
     job.awaitTermination()
     found = {r.id: r.organization_name for r in spark.read.parquet(out).collect()}
     assert found == {"x": "X", "y": None}
+
+
+def test_bad_documents_of_a_stream_are_kept_apart(spark, tmp_path):
+    source = tmp_path / "Endpoint"
+    source.mkdir()
+    good, bad = '{"id": "x", "period": {"start": "2024-01-01"}}', '{"id": "y", "period": {"start": "soon"}}'
+    (source / "a.json").write_text(good + "\n" + bad + "\n")
+    out, rejects = str(tmp_path / "out"), str(tmp_path / "rejects")
+    job = load_resource_stream(
+        document_stream(spark, str(source)), specs.ENDPOINT, out, str(tmp_path / "progress"), rejects
+    )
+    job.awaitTermination()
+    assert [r.id for r in spark.read.parquet(out).collect()] == ["x"]
+    assert [r.bad_columns for r in spark.read.parquet(rejects).collect()] == [["start_date"]]

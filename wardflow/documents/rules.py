@@ -6,10 +6,10 @@ evaluates to null (an absent optional field) the rule counts as met.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardflow import codes
@@ -24,7 +24,7 @@ NONE = "none"
 class Rule:
     name: str
     paths: tuple[str, ...]
-    holds: object
+    holds: Callable[..., Column]
 
 
 def is_type(resource: str) -> Rule:

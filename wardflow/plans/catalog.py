@@ -33,6 +33,7 @@ def load() -> None:
     from wardflow.plans import (  # noqa: F401
         queries_changes,
         queries_documents,
+        queries_jobs,
         queries_reports,
         queries_rows,
         queries_streams,

@@ -9,12 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from wardflow.documents.flatten import Target, flatten
+from wardflow.documents.flatten import Target, flatten, flatten_or_reject
 from wardflow.operators.quality import OUTCOME, has_missing
 from wardflow.sources.files import explode_arrays
 from wardflow.sources.messages import CORRUPT, decode_messages
@@ -70,32 +70,61 @@ def append_stream(
 
 
 def load_resource_stream(
-    docs: DataFrame, spec: Sequence[Target], path: str, checkpoint: str, trigger: dict = ONCE
+    docs: DataFrame,
+    spec: Sequence[Target],
+    path: str,
+    checkpoint: str,
+    rejects: str | None = None,
+    trigger: dict = ONCE,
 ) -> StreamingQuery:
-    """Flatten arriving documents into the table of their resource."""
-    return append_stream(flatten(docs, spec), path, checkpoint, trigger)
+    """Flatten arriving documents into the table of their resource.
+
+    A bad document fails the micro-batch, unless there is a folder for ``rejects``: then the good
+    ones are loaded and the bad ones kept there, with the names of the columns that failed.
+    """
+    if rejects is None:
+        return append_stream(flatten(docs, spec), path, checkpoint, trigger)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows, bad = flatten_or_reject(batch, spec)
+        rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        bad.write.mode("overwrite").parquet(f"{rejects}/batch_id={batch_id}")
+
+    return _for_each(docs, write, checkpoint, trigger)
 
 
 def write_csv_batches(
-    messages: DataFrame, schema: T.StructType, path: str, checkpoint: str, trigger: dict = ONCE
+    messages: DataFrame,
+    schema: T.StructType,
+    path: str,
+    checkpoint: str,
+    audit: str | None = None,
+    table: str = "messages",
+    trigger: dict = ONCE,
 ) -> StreamingQuery:
     """Message lines to CSV files with a header line, one folder per micro-batch.
 
     How many rows make a batch is set at the source (``maxOffsetsPerTrigger`` or
-    ``files_per_batch``), how long it may take by the trigger.
+    ``files_per_batch``), how long it may take by the trigger. With ``audit``, the number of lines
+    that went to each batch's folder is noted.
     """
     header = ",".join(schema.names)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # The lines are CSV already: the text stays as it came, under a header of that name.
         lines = batch.select(F.col("value").alias(header))
-        (
-            lines.write.mode("overwrite")
-            .option("header", True)
-            .option("sep", "\u0001")
-            .option("quote", "")
-            .csv(f"{path}/batch_id={batch_id}")
-        )
+        target = f"{path}/batch_id={batch_id}"
+        seen = Observation()
+        counted = lines.observe(seen, F.count(F.lit(1)).alias("rows"))
+        as_they_are = {"header": True, "sep": "\u0001", "quote": ""}
+        counted.write.mode("overwrite").options(**as_they_are).csv(target)
+        if audit:
+            counts = batch.sparkSession.range(1).select(
+                F.lit(target).alias("file_name"),
+                F.lit(seen.get["rows"]).cast("long").alias("row_count"),
+                F.lit(0).cast("long").alias("reject_count"),
+            )
+            record_load(counts, audit, table, batch_id)
 
     return _for_each(messages, write, checkpoint, trigger)
 
