@@ -176,6 +176,14 @@ def test_replayed_and_empty_batches_change_nothing(spark, table):
     assert rows(table.read()) == [(1, "b")]
 
 
+def test_batches_are_counted_per_source(spark, table):
+    first = spark.createDataFrame([(1, "a", "INSERT")], CHANGES)
+    assert table.apply(first, 5, source="one") is True
+    assert table.apply(spark.createDataFrame([(2, "b", "INSERT")], CHANGES), 5, source="one") is False
+    assert table.apply(spark.createDataFrame([(2, "b", "INSERT")], CHANGES), 0, source="two") is True
+    assert rows(table.read()) == [(1, "a"), (2, "b")]
+
+
 def test_a_segment_left_by_a_failed_batch_is_replaced(spark, table):
     table.apply(spark.createDataFrame([(1, "a", "INSERT")], CHANGES), 0)
     stray = spark.createDataFrame([(99, "stray")], COLUMNS)

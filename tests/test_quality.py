@@ -132,3 +132,18 @@ def test_clean_job_without_clean_rows_writes_nothing(spark, tmp_path):
     outcome = jobs.process_calls(spark, calls, str(out), str(tmp_path / "missing"))
     assert outcome == jobs.Outcome(0, 2)
     assert not out.exists()
+
+
+def test_loading_keeps_what_fits_and_rejects_the_rest(spark, tmp_path):
+    rows = [("CL-1", "3", "5"), ("CL-2", "three", "5"), (None, None, None)]
+    source = tmp_path / "in"
+    files = "CALL_ID string, satisfaction_score string, call_duration string"
+    spark.createDataFrame(rows, files).write.parquet(str(source))
+    (source / "broken.parquet").write_text("not parquet at all")
+    held = T.StructType.fromDDL(files.lower())
+    good = jobs.load_or_reject(spark, str(source), CALLS, held, str(tmp_path / "rejects"))
+    assert good.schema == CALLS
+    assert sorted((r.call_id, r.satisfaction_score) for r in good.collect() if r.call_id) == [("CL-1", 3)]
+    assert good.count() == 2
+    rejected = spark.read.parquet(str(tmp_path / "rejects")).collect()
+    assert [(r.call_id, r.bad_columns) for r in rejected] == [("CL-2", ["satisfaction_score"])]

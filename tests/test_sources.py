@@ -56,8 +56,11 @@ def test_parquet_by_name_pattern_and_column_name(spark, tmp_path):
     spark.createDataFrame([("1", 2.0)], "CALL_ID string, Score double").write.parquet(str(tmp_path / "t"))
     (tmp_path / "t" / "notes.txt").write_text("not parquet")
     schema = T.StructType.fromDDL("call_id string, score int, extra date")
-    row = read_parquet_dir(spark, str(tmp_path / "t"), schema).first()
+    held = T.StructType.fromDDL("call_id string, score double")
+    row = read_parquet_dir(spark, str(tmp_path / "t"), schema, held).first()
     assert tuple(row) == ("1", 2, None)
+    as_held = T.StructType.fromDDL("Call_Id string, extra date")
+    assert tuple(read_parquet_dir(spark, str(tmp_path / "t"), as_held).first()) == ("1", None)
     assert match_columns(spark.range(1), T.StructType.fromDDL("ID string")).first().ID == "0"
     assert read_parquet_dir(spark, str(tmp_path / "t")).columns == ["CALL_ID", "Score"]
 

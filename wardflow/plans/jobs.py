@@ -14,10 +14,10 @@ from wardflow.documents.rules import POLICIES, RULES, require_rows, validate
 from wardflow.documents.specs import SPECS
 from wardflow.operators.keys import skip_processed
 from wardflow.operators.merge import as_inserts
-from wardflow.operators.quality import round_columns, split_missing, write_split
+from wardflow.operators.quality import cast_or_reject, round_columns, split_missing, write_split
 from wardflow.schemas import CALLS, FEEDBACK, FEEDBACK_SCORES, FEEDBACK_TABLE
 from wardflow.sinks.files import append_if_any, append_quarantine, append_rows, write_resources
-from wardflow.sources.files import read_csv_dir, read_parquet_dir, read_resource
+from wardflow.sources.files import match_columns, read_csv_dir, read_parquet_dir, read_resource
 from wardflow.streaming.upsert import ProcessedTable
 
 
@@ -67,7 +67,24 @@ def load_calls(spark: SparkSession, clean: str) -> DataFrame:
 
 def load_feedback(spark: SparkSession, clean: str) -> DataFrame:
     """Complete feedback as rows of the feedback table, whose overall score is a whole number."""
-    return read_parquet_dir(spark, clean, FEEDBACK_TABLE, skip_corrupt=True)
+    return read_parquet_dir(spark, clean, FEEDBACK_TABLE, FEEDBACK, skip_corrupt=True)
+
+
+def load_or_reject(
+    spark: SparkSession,
+    source: str,
+    schema: T.StructType,
+    file_schema: T.StructType,
+    rejects: str,
+) -> DataFrame:
+    """Rows of a table from Parquet files with the types of ``file_schema``.
+
+    Unreadable files are left out; rows with a value that does not fit its column go to ``rejects``.
+    """
+    found = read_parquet_dir(spark, source, file_schema=file_schema, skip_corrupt=True)
+    good, bad = cast_or_reject(match_columns(found, schema, cast=False), schema)
+    append_if_any(bad, rejects)
+    return good
 
 
 def produce_resources(

@@ -126,7 +126,8 @@ def parquet_by_name(spark, sf_dir):
     path = scratch_path(spark, "upper-case")
     orders.select(*[F.col(c).alias(c.upper()) for c in orders.columns]).write.parquet(path)
     schema = T.StructType.fromDDL("o_orderkey long, o_custkey string, absent date")
-    return read_parquet_dir(spark, path, schema)
+    held = T.StructType.fromDDL("o_orderkey long, o_custkey long")
+    return read_parquet_dir(spark, path, schema, held)
 
 
 @query(

@@ -31,32 +31,36 @@ def read_parquet_dir(
     spark: SparkSession,
     path: str,
     schema: T.StructType | None = None,
+    file_schema: T.StructType | None = None,
     glob: str = "*.parquet",
     skip_corrupt: bool = False,
 ) -> DataFrame:
     """Parquet files whose names match ``glob``, below ``path``.
 
-    With a schema, columns are found by name whatever their case, cast to the wanted types, and
-    null where the files lack them.
+    With a schema, columns are found by name whatever their case and are null where the files lack
+    them; no file is opened to find out what is in it. Where the files hold other types than wanted,
+    ``file_schema`` says which, and the values are cast.
     """
-    reader = (
-        spark.read.option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", True)
-        .option("mergeSchema", schema is not None)
-        .option("ignoreCorruptFiles", skip_corrupt)
+    reader = spark.read.options(
+        pathGlobFilter=glob, recursiveFileLookup=True, ignoreCorruptFiles=skip_corrupt
     )
-    found = reader.parquet(path)
-    return found if schema is None else match_columns(found, schema)
+    if schema is None and file_schema is None:
+        return reader.parquet(path)
+    found = reader.schema(file_schema or schema).parquet(path)
+    return found if schema is None or file_schema is None else match_columns(found, schema)
 
 
-def match_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """The columns of ``schema``, taken from ``df`` by name without regard to case."""
+def match_columns(df: DataFrame, schema: T.StructType, cast: bool = True) -> DataFrame:
+    """The columns of ``schema``, taken from ``df`` by name without regard to case.
+
+    Without ``cast`` they keep the types they have, for ``cast_or_reject``.
+    """
     by_name = {name.lower(): name for name in df.columns}
 
     def pick(field: T.StructField) -> Column:
         source = by_name.get(field.name.lower())
-        value = F.lit(None) if source is None else F.col(f"`{source}`")
-        return value.cast(field.dataType).alias(field.name)
+        value = F.lit(None).cast(field.dataType) if source is None else F.col(f"`{source}`")
+        return (value.cast(field.dataType) if cast else value).alias(field.name)
 
     return df.select(*[pick(field) for field in schema])
 
