@@ -11,7 +11,7 @@ from wardflow.operators.quality import (
     write_split,
 )
 from wardflow.plans import jobs
-from wardflow.schemas import CALLS, FEEDBACK, FEEDBACK_SCORES
+from wardflow.schemas import CALLS, FEEDBACK, FEEDBACK_SCORES, QUARANTINE
 from wardflow.sinks.files import append_if_any, append_quarantine, append_rows, read_quarantine
 from wardflow.sources.files import read_csv_dir, read_csv_text
 
@@ -110,6 +110,9 @@ def test_jobs_from_files_to_tables(spark, tmp_path):
     assert jobs.process_calls(spark, calls, call_out, quarantine) == jobs.Outcome(1, 4)
     assert jobs.process_feedback(spark, feedback, feedback_out, quarantine) == jobs.Outcome(1, 1)
     assert read_quarantine(spark, quarantine).count() == 5
+    kept = read_quarantine(spark, quarantine, QUARANTINE)
+    assert kept.groupBy("dataset").count().count() == 2
+    assert kept.filter("feedback_id = 'FB-00002' and resolution_score is null").count() == 1
     assert jobs.load_calls(spark, call_out).schema.names == CALLS.names
     row = jobs.load_feedback(spark, feedback_out).first()
     assert (row.call_centre, row.overall_score) == ("East, A", 7)

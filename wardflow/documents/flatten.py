@@ -2,8 +2,9 @@
 
 A flatten spec lists target columns and where they come from. All scalar paths of a spec are read
 by one ``from_json`` with a schema made of just those paths, so a document is parsed once however
-many columns come out of it, and columns nobody selects are not read. Leaves are read as text and
-then cast, which takes numbers and booleans written either way.
+many columns come out of it, and what no path names is skipped. Leaves are read as text and then
+cast, which takes numbers and booleans written either way. Columns that are themselves documents are
+variant; they cost a second parse, but only where they are selected.
 """
 
 from __future__ import annotations

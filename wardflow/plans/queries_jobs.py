@@ -12,7 +12,7 @@ from wardflow.plans import standins as d
 from wardflow.plans.catalog import query
 from wardflow.plans.queries_documents import _appointments, _copies_sql, _patients
 from wardflow.plans.standins import with_tables
-from wardflow.schemas import CALLS, FEEDBACK
+from wardflow.schemas import CALLS, FEEDBACK, QUARANTINE
 from wardflow.session import scratch_path
 from wardflow.sinks.files import read_quarantine, write_resources
 from wardflow.sources.files import read_csv_dir, read_parquet_dir
@@ -42,7 +42,7 @@ def _processed_calls(spark, sf_dir):
     loaded = jobs.load_calls(spark, clean)
     table = ProcessedTable.create(loaded, scratch_path(spark, "processed-calls"), ["call_id"])
     jobs.refresh(table, loaded)
-    return table.read(), read_quarantine(spark, quarantine)
+    return table.read(), read_quarantine(spark, quarantine, QUARANTINE)
 
 
 _COMPLETE = "call_centre is not null and satisfaction_score is not null"

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardflow.operators.keys import skip_processed
-from wardflow.operators.merge import empty_like
+from wardflow.operators.merge import as_inserts, merge_changes
 from wardflow.operators.ordinals import fan_out, micro_batch_ids, rotation_windows
 from wardflow.operators.quality import (
     cast_or_reject,
@@ -19,7 +19,12 @@ from wardflow.plans import standins as d
 from wardflow.plans.catalog import query
 from wardflow.plans.standins import with_tables
 from wardflow.session import materialize, scratch_path
-from wardflow.sinks.files import append_quarantine, quarantine_union, read_quarantine
+from wardflow.sinks.files import (
+    append_quarantine,
+    clone_schema,
+    quarantine_union,
+    read_quarantine,
+)
 from wardflow.sources.files import from_folder
 from wardflow.sources.messages import CORRUPT, decode_messages, encode_messages
 from wardflow.sources.pages import explode_pages, first_records
@@ -181,9 +186,13 @@ def skip_processed_query(spark, sf_dir):
     return skip_processed(orders, returned.select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey")
 
 
-@query("empty_clone", "select * from orders limit 0")
+@query("empty_clone", "select o_orderkey, o_custkey, o_totalprice from orders")
 def empty_clone(spark, sf_dir):
-    return empty_like(d.table(spark, sf_dir, "orders"))
+    """An empty clone of a table, filled by merging the whole table into it."""
+    orders = d.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    path = scratch_path(spark, "clone")
+    clone_schema(orders, path)
+    return merge_changes(spark.read.parquet(path), as_inserts(orders), ["o_orderkey"])
 
 
 @query(

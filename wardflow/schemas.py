@@ -74,3 +74,12 @@ FEEDBACK_TABLE = T.StructType(
         for f in FEEDBACK
     ]
 )
+
+# Incomplete rows of both data sets in one place; a column is null where a data set lacks it.
+QUARANTINE = T.StructType(
+    [
+        *CALLS.fields,
+        *[f for f in FEEDBACK.fields if f.name not in CALLS.names],
+        T.StructField("dataset", T.StringType()),
+    ]
+)

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wardflow.operators.merge import empty_like
 
@@ -33,8 +34,15 @@ def append_quarantine(df: DataFrame, path: str, dataset: str) -> int:
     return append_rows(df.withColumn("dataset", F.lit(dataset)), path, ["dataset"])
 
 
-def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
-    """All quarantined rows; columns a data set does not have are null."""
+def read_quarantine(
+    spark: SparkSession, path: str, schema: T.StructType | None = None
+) -> DataFrame:
+    """All quarantined rows; columns a data set does not have are null.
+
+    With a schema (``schemas.QUARANTINE`` for calls and feedback) no file is opened to merge theirs.
+    """
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
     return spark.read.option("mergeSchema", True).parquet(path)
 
 
