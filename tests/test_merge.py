@@ -176,6 +176,28 @@ def test_replayed_and_empty_batches_change_nothing(spark, table):
     assert rows(table.read()) == [(1, "b")]
 
 
+def test_repeated_keys_in_a_batch(spark, table):
+    inserts = spark.createDataFrame([(1, "a", "INSERT"), (2, "b", "INSERT"), (2, "c", "INSERT")], CHANGES)
+    table.apply(inserts)
+    assert rows(table.read()) == [(1, "a"), (2, "b"), (2, "c")]
+    twice = spark.createDataFrame([(1, "x", "UPDATE"), (1, None, "DELETE")], CHANGES)
+    with pytest.raises(ValueError, match="updates or deletes of one key"):
+        table.apply(twice)
+    # One change may meet several rows of its key.
+    table.apply(spark.createDataFrame([(2, "z", "UPDATE")], CHANGES))
+    assert rows(table.read()) == [(1, "a"), (2, "z"), (2, "z")]
+    ordered = twice.withColumn("seq", F.when(F.col("v") == "x", 2).otherwise(1))
+    table.apply(ordered, seq_col="seq")
+    assert rows(table.read()) == [(1, "x"), (2, "z"), (2, "z")]
+
+
+def test_snapshots_with_rows_without_a_key(spark):
+    old = spark.createDataFrame([(None, "a"), (1, "b")], COLUMNS)
+    new = spark.createDataFrame([(None, "a"), (1, "b")], COLUMNS)
+    found = snapshot_changes(old, new, ["id"])
+    assert sorted(r.action for r in found.collect()) == ["DELETE", "INSERT"]
+
+
 def test_batches_are_counted_per_source(spark, table):
     first = spark.createDataFrame([(1, "a", "INSERT")], CHANGES)
     assert table.apply(first, 5, source="one") is True

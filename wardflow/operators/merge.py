@@ -36,8 +36,9 @@ def merge_changes(
 ) -> DataFrame:
     """The target after the changes, as one full outer join on the key.
 
-    With ``seq_col`` the newest change of a key counts; without it there must be one per key. The
-    join uses the partitioning that finding the newest change has made.
+    With ``seq_col`` the newest change of a key counts; without it there must be at most one update
+    or delete per key, as in any merge. The join uses the partitioning that finding the newest
+    change has made.
     """
     columns = target.columns
     if seq_col is None:

@@ -66,7 +66,11 @@ def split_counts_query(spark, sf_dir):
 
 @query(
     "split_written",
-    with_tables("gappy_calls", body=f"select *, case when {_GAP} then 'missing' else 'clean' end as outcome from gappy_calls"),
+    with_tables(
+        "gappy_calls",
+        body=f"""
+        select *, case when {_GAP} then 'missing' else 'clean' end as outcome from gappy_calls""",
+    ),
 )
 def split_written(spark, sf_dir):
     path = scratch_path(spark, "split")

@@ -12,8 +12,9 @@ def read_csv_dir(
 ) -> DataFrame:
     """CSV files with a header line; a cell that does not fit its type reads as null.
 
-    Quotes inside quoted cells are doubled, as ``encode_messages`` writes them. Without a schema the types are inferred, which reads the files twice and turns a column with a
-    stray header line into text.
+    Quotes inside quoted cells are doubled, as ``encode_messages`` writes them. Without a schema the
+    types are inferred, which reads the files twice and turns a column with a stray header line into
+    text.
     """
     reader = spark.read.options(header=True, mode="PERMISSIVE", escape='"')
     if schema is None:
