@@ -8,7 +8,16 @@ from pyspark.sql import functions as F
 from wardflow import codes
 from wardflow.documents import build
 from wardflow.documents.flatten import flatten, flatten_or_reject, schema_of, value
-from wardflow.documents.rules import FAIL, NONE, POLICIES, RULES, SKIP, require_rows, validate
+from wardflow.documents.rules import (
+    FAIL,
+    NONE,
+    POLICIES,
+    RULES,
+    SKIP,
+    require_rows,
+    validate,
+    write_checked,
+)
 from wardflow.documents.specs import SPECS
 from wardflow.operators.merge import empty_like
 from wardflow.plans import jobs
@@ -238,6 +247,14 @@ def test_validation_policies(spark):
         validate(docs, RULES["Appointment"], "perhaps")
 
 
+def test_checked_documents_are_written_in_one_pass(spark, tmp_path):
+    docs = with_ids(spark, APPOINTMENT, {**APPOINTMENT, "id": "A2", "status": "lost"})
+    path = str(tmp_path / "checked")
+    assert write_checked(docs, RULES["Appointment"], path) == {"valid": 1, "rejected": 1}
+    back = {r.id: (r.outcome, r.errors) for r in spark.read.parquet(path).collect()}
+    assert back == {"A00007": ("valid", []), "A2": ("rejected", ["status code"])}
+
+
 def errors_of(spark, resource, document):
     _, rejected = validate(with_ids(spark, document), RULES[resource], SKIP)
     found = rejected.first()

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from wardflow import codes
@@ -217,6 +217,25 @@ def validate(
     return checked.filter(good).drop("errors"), rejected
 
 
+def write_checked(
+    docs: DataFrame, rules: Sequence[Rule], path: str, body: str = "resource_json"
+) -> dict[str, int]:
+    """Check documents and write both kinds in one pass, returning how many there are of each.
+
+    They go to ``outcome=valid`` and ``outcome=rejected`` below ``path``, with their ``errors``.
+    """
+    seen = Observation()
+    checked = with_errors(docs, rules, body)
+    valid = F.size("errors") == 0
+    counted = checked.withColumn("outcome", F.when(valid, "valid").otherwise("rejected")).observe(
+        seen,
+        F.count_if(F.col("outcome") == "valid").alias("valid"),
+        F.count_if(F.col("outcome") == "rejected").alias("rejected"),
+    )
+    counted.write.mode("append").partitionBy("outcome").parquet(path)
+    return seen.get
+
+
 def require_rows(df: DataFrame, what: str = "data") -> DataFrame:
     """The frame itself, unless it is empty."""
     if df.isEmpty():

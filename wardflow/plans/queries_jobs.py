@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardflow.documents import build
-from wardflow.documents.rules import FAIL, NONE, RULES, validate
+from wardflow.documents.rules import FAIL, NONE, RULES, validate, write_checked
+from wardflow.operators.merge import empty_like
 from wardflow.plans import jobs, reports
 from wardflow.plans import standins as d
 from wardflow.plans.catalog import query
@@ -14,7 +15,12 @@ from wardflow.plans.queries_documents import _appointments, _copies_sql, _patien
 from wardflow.plans.standins import with_tables
 from wardflow.schemas import CALLS, FEEDBACK, QUARANTINE
 from wardflow.session import scratch_path
-from wardflow.sinks.files import read_quarantine, write_resources
+from wardflow.sinks.files import (
+    load_by_position,
+    read_quarantine,
+    truncate,
+    write_resources,
+)
 from wardflow.sources.files import read_csv_dir, read_parquet_dir
 from wardflow.streaming.upsert import ProcessedTable
 
@@ -130,6 +136,47 @@ def parquet_by_name(spark, sf_dir):
     return read_parquet_dir(spark, path, schema, held)
 
 
+@query(
+    "reloaded_table",
+    "select o_orderkey as call_id, o_orderpriority as call_centre from orders",
+)
+def reloaded_table(spark, sf_dir):
+    """Rows loaded by position into a catalog table that was truncated after a first load."""
+    orders = d.table(spark, sf_dir, "orders")
+    path = scratch_path(spark, "by-position")
+    name = "by_position_" + path.rsplit("-", 1)[-1]
+    empty = empty_like(orders).select(
+        F.col("o_orderkey").alias("call_id"), F.col("o_orderpriority").alias("call_centre")
+    )
+    empty.write.option("path", path).saveAsTable(name)
+    load_by_position(orders, name, ["o_orderkey", "o_orderpriority"])
+    truncate(spark, path)
+    load_by_position(orders, name, ["o_orderkey", "o_orderpriority"])
+    # The table lies outside the warehouse: dropping its entry leaves the rows.
+    spark.sql(f"drop table {name}")
+    return spark.read.parquet(path)
+
+
+@query(
+    "checked_in_one_pass",
+    with_tables(
+        "register",
+        body=f"""
+        , {_copies_sql("orders", "o_orderkey")}
+        select 'A' || format('{{:05d}}', counter) as id,
+          case when o_orderstatus = 'P' then 'rejected' else 'valid' end as outcome,
+          case when o_orderstatus = 'P' then 'status code' else '' end as errors from copies""",
+    ),
+)
+def checked_in_one_pass(spark, sf_dir):
+    status = F.when(F.col("o_orderstatus") == "P", "lost").otherwise("booked")
+    path = scratch_path(spark, "checked")
+    write_checked(_appointments(spark, sf_dir, status=status), RULES["Appointment"], path)
+    return spark.read.parquet(path).select(
+        "id", "outcome", F.array_join("errors", "; ").alias("errors")
+    )
+
+
 @query(
     "csv_inferred",
     "select cast(c_custkey as integer) as c_custkey, c_name, c_acctbal from customer",
