@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import itertools
+import pathlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from wardflow.operators.merge import (
     put_resources,
     snapshot_changes,
 )
+from wardflow.session import discard, shared_folder
 from wardflow.streaming.ingest import file_stream
 from wardflow.streaming.upsert import ProcessedTable, merge_stream
 
@@ -198,6 +200,19 @@ def test_snapshots_with_rows_without_a_key(spark):
     assert sorted(r.action for r in found.collect()) == ["DELETE", "INSERT"]
 
 
+def test_scratch_tables_of_a_batch_are_removed(spark, table):
+    def scratch():
+        folder = pathlib.Path(shared_folder(spark)) / "wardflow"
+        return {p.name for p in folder.glob("*")} if folder.exists() else set()
+
+    before = scratch()
+    table.apply(spark.createDataFrame([(1, "a", "INSERT")], CHANGES))
+    assert scratch() == before
+    assert rows(table.read()) == [(1, "a")]
+    with pytest.raises(ValueError, match="not a scratch path"):
+        discard(spark, table.path)
+
+
 def test_batches_are_counted_per_source(spark, table):
     first = spark.createDataFrame([(1, "a", "INSERT")], CHANGES)
     assert table.apply(first, 5, source="one") is True

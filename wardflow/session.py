@@ -60,13 +60,22 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/wardflow/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts the lineage with a table that outlives lost executors, gives every later reader the very
-    same rows, and lets Spark plan with the true size.
+    same rows, and lets Spark plan with the true size. The table stays as long as the result may be
+    used; whoever gives a ``path`` of their own can ``discard`` it.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, label)
+    path = path or scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a scratch table that nothing reads any more."""
+    if not path.startswith(f"{shared_folder(spark)}/wardflow/"):
+        raise ValueError(f"not a scratch path: {path}")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
