@@ -115,6 +115,9 @@ class Texts:
     def owner(self, positions: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.starts, positions, side="right") - 1
 
+    def string(self, start: int, end: int) -> str:
+        return self.data[start:end].tobytes().decode("utf-8", "replace")
+
     def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Runs of bytes that are not blank."""
         return self.runs(~IS_BLANK[self.data])

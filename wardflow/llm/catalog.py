@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardflow.llm import queries_tokens
+from wardflow.llm import queries_near, queries_quality, queries_tokens
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_bpe_automaton": queries_tokens.op2_bpe_automaton,
         "op3_token_files": queries_tokens.op3_token_files,
+        "op4_fertility": queries_quality.op4_fertility,
+        "op5_bottom_k": queries_near.op5_bottom_k,
+        "op7_nearest_centroid": queries_quality.op7_nearest_centroid,
     }
 
 
