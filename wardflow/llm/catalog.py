@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardflow.llm import queries_near, queries_quality, queries_tokens
+from wardflow.llm import queries_native, queries_near, queries_quality, queries_tokens
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_rendezvous": queries_native.op1_rendezvous,
         "op2_bpe_automaton": queries_tokens.op2_bpe_automaton,
         "op3_token_files": queries_tokens.op3_token_files,
         "op4_fertility": queries_quality.op4_fertility,

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wardflow.llm.arrays import LOWER, Texts
@@ -108,13 +109,19 @@ def _kmeans(vectors: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
 def training_sample(labelled: DataFrame) -> DataFrame:
     """At most ``SAMPLE_PER_LANGUAGE`` rows of each language, those whose text hashes lowest.
 
-    Map tasks pass on no more rows of a language than that each.
+    The languages' sizes (one row each, as in the model itself) say below which hash about twice as
+    many rows as needed lie; only those are ranked, however many rows or map tasks there are.
     """
-    from pyspark.sql import Window as W
-
-    order = W.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
-    ranked = labelled.withColumn("_rank", F.row_number().over(order))
-    return ranked.filter(F.col("_rank") <= SAMPLE_PER_LANGUAGE).select("lang", "text")
+    sizes = labelled.groupBy(F.col("lang").alias("sized")).agg(F.count("*").alias("n"))
+    place = F.pmod(F.xxhash64("text"), F.lit(1 << 40))
+    near = labelled.withColumn("place", place).join(
+        F.broadcast(sizes),
+        (F.col("lang") == F.col("sized"))
+        & (F.col("place") < F.lit(float(1 << 40)) * (2.0 * SAMPLE_PER_LANGUAGE) / F.col("n")),
+    )
+    order = W.partitionBy("lang").orderBy("place", "text")
+    ranked = near.withColumn("rank", F.row_number().over(order))
+    return ranked.filter(F.col("rank") <= SAMPLE_PER_LANGUAGE).select("lang", "text")
 
 
 def fit(labelled: DataFrame) -> Model:
