@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_token_files": queries_tokens.op3_token_files,
         "op4_fertility": queries_quality.op4_fertility,
         "op5_bottom_k": queries_near.op5_bottom_k,
+        "op6_line_chunks": queries_native.op6_line_chunks,
         "op7_nearest_centroid": queries_quality.op7_nearest_centroid,
     }
 

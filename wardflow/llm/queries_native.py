@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wardflow.llm import sharding
+from wardflow.llm import line_chunks, sharding
 from wardflow.llm.common import documents
 
 SHARDS = 40
@@ -12,3 +13,14 @@ SHARDS = 40
 
 def op1_rendezvous(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_table(documents(spark, sf_dir), SHARDS)
+
+
+def op6_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_chunks.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        "n_removed_chunks",
+        "n_removed_lines",
+        F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("kept_bytes"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
