@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardflow.llm import queries_native, queries_near, queries_quality, queries_tokens
+from wardflow.llm import licenses, queries_native, queries_near, queries_quality, queries_tokens, secrets
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -18,8 +18,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_bottom_k": queries_near.op5_bottom_k,
         "op6_line_chunks": queries_native.op6_line_chunks,
         "op7_nearest_centroid": queries_quality.op7_nearest_centroid,
+        "op8_ownership": queries_native.op8_ownership,
+        "op9_set_similarity": queries_native.op9_set_similarity,
     }
 
 
 def checks() -> dict[str, str]:
-    return {}
+    return {
+        "op8_ownership": secrets.SQL,
+        "op9_set_similarity": licenses.check_sql(),
+    }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import line_chunks, sharding
+from wardflow.llm import licenses, line_chunks, secrets, sharding
 from wardflow.llm.common import documents
 
 SHARDS = 40
@@ -24,3 +24,11 @@ def op6_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("kept_bytes"),
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
     )
+
+
+def op8_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(documents(spark, sf_dir))
+
+
+def op9_set_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir))
