@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardflow.llm import licenses, queries_native, queries_near, queries_quality, queries_tokens, secrets
+from wardflow.llm import decontaminate, licenses, queries_native, queries_near, queries_quality, queries_tokens, secrets
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -20,6 +20,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_nearest_centroid": queries_quality.op7_nearest_centroid,
         "op8_ownership": queries_native.op8_ownership,
         "op9_set_similarity": queries_native.op9_set_similarity,
+        "op10_positional_index": queries_native.op10_positional_index,
     }
 
 
@@ -27,4 +28,5 @@ def checks() -> dict[str, str]:
     return {
         "op8_ownership": secrets.SQL,
         "op9_set_similarity": licenses.check_sql(),
+        "op10_positional_index": decontaminate.SQL,
     }

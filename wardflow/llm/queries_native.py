@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import licenses, line_chunks, secrets, sharding
+from wardflow.llm import decontaminate, licenses, line_chunks, secrets, sharding
 from wardflow.llm.common import documents
 
 SHARDS = 40
@@ -32,3 +32,8 @@ def op8_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_set_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(documents(spark, sf_dir))
+
+
+def op10_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.report(documents(spark, sf_dir), benchmark)
