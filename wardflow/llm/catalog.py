@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardflow.llm import decontaminate, licenses, queries_native, queries_near, queries_quality, queries_tokens, secrets
+import corpus_pipeline
+from wardflow.llm import decontaminate, licenses, queries_native, queries_near, queries_quality, queries_tokens, secret_scan
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,12 +22,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_ownership": queries_native.op8_ownership,
         "op9_set_similarity": queries_native.op9_set_similarity,
         "op10_positional_index": queries_native.op10_positional_index,
+        "pipeline": corpus_pipeline.run,
     }
 
 
 def checks() -> dict[str, str]:
     return {
-        "op8_ownership": secrets.SQL,
+        "op8_ownership": secret_scan.SQL,
         "op9_set_similarity": licenses.check_sql(),
         "op10_positional_index": decontaminate.SQL,
     }

@@ -4,6 +4,7 @@ A chunk ends where a rolling hash over the hashes of two neighbouring lines says
 lines wherever a passage is put, except at its edges. Lines of ``LONG_LINE`` words or more are a chunk
 each, as they are passages already. Chunks that occur again (several lines, or a long one) are kept
 where they come first by document and place, and removed elsewhere, once their bytes were compared.
+A document of which every chunk came before, single short lines too, is emptied: it is a copy.
 """
 
 from __future__ import annotations
@@ -58,6 +59,10 @@ def _cut(lines: Column, marks: Column) -> Column:
     return F.flatten(F.transform(F.array(starts), chunks))
 
 
+def _said(chunk: Column) -> Column:
+    return chunk["body"].rlike(r"\S")
+
+
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with ``text_col`` less the chunks that came before, and ``n_removed_chunks`` and
     ``n_removed_lines`` (columns of these names are replaced).
@@ -74,9 +79,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     chunk = F.col("chunk")
     opened = keyed.filter(text.isNotNull()).select("_key", "_print", F.explode(_chunks(text)).alias("chunk"))
     wide = (chunk["lines"] > 1) | _is_long(chunk["body"])
-    passages = opened.filter(wide & chunk["body"].rlike(r"\S")).select(
+    passages = opened.filter(_said(chunk)).select(
         "_key",
         "_print",
+        wide.alias("wide"),
         chunk["at"].alias("at"),
         F.xxhash64(chunk["body"]).alias("hash"),
         F.octet_length(chunk["body"]).alias("bytes"),
@@ -92,25 +98,25 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         .select("hash", "bytes", "first")
     )
     later = passages.drop("body").join(repeated, ["hash", "bytes"]).filter(place != F.col("first"))
-    removed = (
-        later.groupBy("_key", "_print")
-        .agg(F.collect_set("at").alias("removed"), F.collect_set(F.struct("at", "lines")).alias("sizes"))
-        .select(
-            F.col("_key").alias("r_key"),
-            F.col("_print").alias("r_print"),
-            "removed",
-            F.aggregate("sizes", F.lit(0).cast("long"), lambda a, s: a + s["lines"]).alias("n_removed_lines"),
-        )
+    removed = later.groupBy("_key", "_print").agg(
+        F.collect_set(F.struct("at", "lines", "wide")).alias("repeats")
     )
+    removed = removed.select(F.col("_key").alias("r_key"), F.col("_print").alias("r_print"), "repeats")
     both = keyed.join(
         removed, F.col("_key").eqNullSafe(F.col("r_key")) & (F.col("_print") == F.col("r_print")), "left"
     )
-    kept = F.filter(_chunks(text), lambda c: ~F.array_contains("removed", c["at"]))
+    chunks = F.when(F.col("repeats").isNotNull(), _chunks(text)).alias("_chunks")
+    opened = both.select(*own, "repeats", chunks)
+    copy = F.size("repeats") == F.size(F.filter("_chunks", _said))
+    gone = F.when(copy, F.col("repeats")).otherwise(F.filter("repeats", lambda r: r["wide"]))
+    judged = opened.select(*own, "_chunks", gone.alias("_gone"))
+    kept = F.filter("_chunks", lambda c: ~F.array_contains(F.col("_gone.at"), c["at"]))
     less = F.array_join(F.transform(kept, lambda c: c["body"]), "\n")
     columns = {c: F.col(f"`{c}`") for c in own}
-    columns[text_col] = F.when(F.col("removed").isNull(), text).otherwise(less)
-    return both.select(
+    columns[text_col] = F.when(F.col("_gone").isNull(), text).otherwise(less)
+    lines = F.aggregate("_gone", F.lit(0).cast("long"), lambda n, r: n + r["lines"])
+    return judged.select(
         *[value.alias(name) for name, value in columns.items()],
-        F.coalesce(F.size(F.col("removed")), F.lit(0)).cast("long").alias("n_removed_chunks"),
-        F.coalesce("n_removed_lines", F.lit(0).cast("long")).alias("n_removed_lines"),
+        F.coalesce(F.size(F.col("_gone")), F.lit(0)).cast("long").alias("n_removed_chunks"),
+        F.coalesce(lines, F.lit(0).cast("long")).alias("n_removed_lines"),
     )

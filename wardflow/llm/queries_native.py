@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import decontaminate, licenses, line_chunks, secrets, sharding
+from wardflow.llm import decontaminate, licenses, line_chunks, secret_scan, sharding
 from wardflow.llm.common import documents
 
 SHARDS = 40
@@ -27,7 +27,7 @@ def op6_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.report(documents(spark, sf_dir))
+    return secret_scan.report(documents(spark, sf_dir))
 
 
 def op9_set_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
