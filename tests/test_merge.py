@@ -140,7 +140,7 @@ def test_orphans_and_processed_ids(spark):
 @pytest.fixture
 def table(spark, tmp_path):
     like = spark.createDataFrame([], COLUMNS)
-    return ProcessedTable.create(like, str(tmp_path / "processed"), ["id"], max_segments=4)
+    return ProcessedTable.create(like, str(tmp_path / "processed"), ["id"], max_segments=4, buckets=3)
 
 
 def test_processed_table_over_many_batches(spark, table):
@@ -154,18 +154,80 @@ def test_processed_table_over_many_batches(spark, table):
         assert table.apply(spark.createDataFrame(changes, CHANGES), batch)
         model = expected_merge(model, changes)
         assert rows(table.read()) == sorted(model, key=str)
-        assert len(table._newest().segments) <= 5
+        assert len(table._newest().segments) <= 3 * 4
+
+
+def segments(table):
+    return {(r.bucket, r.version) for r in table._newest().segments}
 
 
 def test_pure_inserts_rewrite_nothing(spark, table):
     table.apply(spark.createDataFrame([(1, "a", "INSERT")], CHANGES), 0)
-    before = {s.segment for s in table._newest().segments}
+    before = segments(table)
     table.apply(spark.createDataFrame([(2, "b", "INSERT"), (1, "z", "INSERT")], CHANGES), 1)
-    after = {s.segment for s in table._newest().segments}
-    assert before < after
+    assert before < segments(table)
     assert rows(table.read()) == [(1, "a"), (2, "b")]
 
 
+def test_a_change_of_one_key_rewrites_one_bucket(spark, table):
+    table.apply(spark.createDataFrame([(i, "a", "INSERT") for i in range(30)], CHANGES), 0)
+    before = segments(table)
+    assert len(before) == 3
+    table.apply(spark.createDataFrame([(7, "b", "UPDATE")], CHANGES), 1)
+    assert len(before - segments(table)) == 1
+    assert rows(table.read()) == sorted([(i, "b" if i == 7 else "a") for i in range(30)], key=str)
+
+
+MIXED_TARGET = [(1, "old"), (2, "old"), (3, "old"), (None, "old")]
+MIXED = [
+    (1, "i", "INSERT"), (1, "u", "UPDATE"), (2, "i", "INSERT"), (2, None, "DELETE"), (3, "i", "INSERT"),
+    (3, "j", "INSERT"), (4, "i", "INSERT"), (4, "u", "UPDATE"), (5, "i", "INSERT"), (5, "i", "INSERT"),
+    (6, "u", "UPDATE"), (None, "n", "INSERT"), (None, "n", "INSERT"), (None, "u", "UPDATE"),
+]
+MIXED_RESULT = sorted(
+    [(1, "u"), (3, "old"), (4, "i"), (5, "i"), (5, "i"), (None, "old"), (None, "n"), (None, "n")], key=str
+)
+
+
+def test_inserts_beside_other_changes_of_their_key(spark):
+    target = spark.createDataFrame(MIXED_TARGET, COLUMNS)
+    assert rows(merge_changes(target, spark.createDataFrame(MIXED, CHANGES), ["id"])) == MIXED_RESULT
+
+
+@pytest.mark.parametrize("max_segments", [1, 32])
+def test_compaction_changes_no_row(spark, tmp_path, max_segments):
+    target = spark.createDataFrame(MIXED_TARGET, COLUMNS)
+    table = ProcessedTable.create(target, str(tmp_path / "t"), ["id"], max_segments, buckets=2)
+    table.apply(as_inserts(target))
+    table.apply(spark.createDataFrame(MIXED, CHANGES))
+    assert rows(table.read()) == MIXED_RESULT
+
+
+def test_two_updates_of_a_key_fail_the_merge(spark):
+    target = spark.createDataFrame([(1, "old")], COLUMNS)
+    twice = spark.createDataFrame([(1, "x", "UPDATE"), (1, "y", "DELETE")], CHANGES)
+    with pytest.raises(Exception, match="several updates or deletes of one key"):
+        merge_changes(target, twice, ["id"]).collect()
+
+
+def test_copies_without_a_key_are_kept_either_way(spark):
+    target = spark.createDataFrame([(1, "old")], COLUMNS)
+    copies = spark.createDataFrame([(None, "n", "INSERT", 1)] * 2, CHANGES + ", seq int")
+    for seq in (None, "seq"):
+        assert rows(merge_changes(target, copies, ["id"], seq_col=seq)).count((None, "n")) == 2
+
+
+def test_expired_versions_are_deleted(spark, table):
+    for k in range(3):
+        table.apply(spark.createDataFrame([(1, f"v{k}", "UPDATE" if k else "INSERT")], CHANGES))
+    assert table.expire(before=0) == 0
+    assert table.expire(before=float("inf")) == 3
+    assert rows(table.read()) == [(1, "v2")]
+    kept = {p.parent.name for p in pathlib.Path(table.path).glob("rows/*/_bucket=*")}
+    assert kept == {"version=3"}
+    assert rows(ProcessedTable(spark, table.path, ["id"]).read()) == [(1, "v2")]
+
+
 def test_replayed_and_empty_batches_change_nothing(spark, table):
     changes = spark.createDataFrame([(1, "a", "INSERT")], CHANGES)
     assert table.apply(changes, 0) is True
@@ -224,7 +286,7 @@ def test_batches_are_counted_per_source(spark, table):
 def test_a_segment_left_by_a_failed_batch_is_replaced(spark, table):
     table.apply(spark.createDataFrame([(1, "a", "INSERT")], CHANGES), 0)
     stray = spark.createDataFrame([(99, "stray")], COLUMNS)
-    stray.write.parquet(f"{table.path}/rows/segment=v00000002")
+    stray.write.parquet(f"{table.path}/rows/version=2/_bucket=0")
     assert rows(table.read()) == [(1, "a")]
     table.apply(spark.createDataFrame([(2, "b", "INSERT")], CHANGES), 1)
     assert rows(table.read()) == [(1, "a"), (2, "b")]

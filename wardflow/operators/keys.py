@@ -46,26 +46,20 @@ def null_key_spread(df: DataFrame, keys: Sequence[str]) -> Column:
     return F.when(absent, row_hash).otherwise(F.lit(0).cast("long"))
 
 
-def ranked_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """``latest_per_key`` with its ``_spread`` column, partitioned and sorted by key and spread."""
-    ties = [
-        f.name
-        for f in df.schema
-        if f.name not in (*keys, *order) and not isinstance(f.dataType, (T.VariantType, T.MapType))
-    ]
-    rank = W.partitionBy(*keys, "_spread").orderBy(*[F.desc(c) for c in (*order, *ties)])
-    ranked = df.withColumn("_spread", null_key_spread(df, keys)).withColumn(
-        "_rank", F.row_number().over(rank)
-    )
-    return ranked.filter(F.col("_rank") == 1).drop("_rank")
-
-
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key, the one with the greatest ``order``; the last write wins.
 
     Spark turns the filter on the rank into a group limit in front of the shuffle, so each map task
     passes on one row per key, however many versions of it there are. Rows with equal ``order`` are
     decided by their other columns (documents aside), not by arrival. Rows with a null key are all
-    kept, exact copies of one of them once.
+    kept, exact copies too.
     """
-    return ranked_first(df, keys, order).drop("_spread")
+    absent = reduce(or_, [F.col(key).isNull() for key in keys])
+    ties = [
+        f.name
+        for f in df.schema
+        if f.name not in (*keys, *order) and not isinstance(f.dataType, (T.VariantType, T.MapType))
+    ]
+    rank = W.partitionBy(*keys).orderBy(*[F.desc(c) for c in (*order, *ties)])
+    ranked = df.filter(~absent).withColumn("_rank", F.row_number().over(rank))
+    return ranked.filter(F.col("_rank") == 1).drop("_rank").unionByName(df.filter(absent))

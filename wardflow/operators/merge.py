@@ -20,7 +20,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardflow.operators.keys import null_key_spread, ranked_first
+from wardflow.operators.keys import latest_per_key, null_key_spread
 
 INSERT = "INSERT"
 UPDATE = "UPDATE"
@@ -34,29 +34,42 @@ def merge_changes(
     action_col: str = "action",
     seq_col: str | None = None,
 ) -> DataFrame:
-    """The target after the changes, as one full outer join on the key.
+    """The target after the changes, each of which meets the target as it was before.
 
-    With ``seq_col`` the newest change of a key counts; without it there must be at most one update
-    or delete per key, as in any merge. The join uses the partitioning that finding the newest
-    change has made.
+    With ``seq_col`` only the newest change of a key counts. Without it a key may have any number of
+    inserts, but more than one update or delete of it fails the job. Keys with a null match nothing:
+    such inserts are all added, such updates and deletes ignored.
     """
     columns = target.columns
-    if seq_col is None:
-        newest = changes.withColumn("_spread", null_key_spread(changes, keys))
-    else:
-        newest = ranked_first(changes, keys, [seq_col])
-    old = target.withColumn("_spread", null_key_spread(target, keys)).select(
-        *keys, "_spread", F.struct(*columns).alias("_old")
-    )
-    new = newest.select(
-        *keys, "_spread", F.struct(*columns).alias("_new"), F.col(action_col).alias("_action")
+    newest = changes if seq_col is None else latest_per_key(changes, keys, [seq_col])
+    kept = rewritten(target, one_per_key(newest, keys, columns, action_col), keys)
+    fresh = newest.filter(F.col(action_col) == INSERT).select(*columns)
+    return kept.unionByName(fresh.join(target.select(*keys), list(keys), "left_anti").select(*columns))
+
+
+def one_per_key(
+    changes: DataFrame, keys: Sequence[str], columns: Sequence[str], action_col: str = "action"
+) -> DataFrame:
+    """The update or delete of each key as ``_new`` and ``_action``; a second one is an error."""
+    rewriting = changes.filter(F.col(action_col).isin(UPDATE, DELETE)).dropna(subset=list(keys))
+    once = rewriting.groupBy(*keys).agg(
+        F.first(F.struct(*columns)).alias("_new"),
+        F.first(action_col).alias("_action"),
+        F.count("*").alias("_changes"),
     )
-    joined = old.join(new, [*keys, "_spread"], "full_outer")
-    known = F.col("_old").isNotNull()
-    action = F.col("_action")
-    keep = F.when(known, ~action.eqNullSafe(DELETE)).otherwise(action.eqNullSafe(INSERT))
-    row = F.when(known & ~action.eqNullSafe(UPDATE), F.col("_old")).otherwise(F.col("_new"))
-    return joined.filter(keep).select(row.alias("_row")).select("_row.*")
+    single = F.when(
+        F.col("_changes") > 1, F.raise_error(F.lit("several updates or deletes of one key"))
+    ).otherwise(F.col("_action"))
+    return once.select(*keys, "_new", single.alias("_action"))
+
+
+def rewritten(rows: DataFrame, once: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows after the updates and deletes of ``one_per_key``; columns those lack stay."""
+    changed = [c for c in once.schema["_new"].dataType.names if c not in keys]
+    joined = rows.join(once, list(keys), "left").filter(~F.col("_action").eqNullSafe(DELETE))
+    updated = F.col("_action").eqNullSafe(UPDATE)
+    values = {c: F.when(updated, F.col("_new").getField(c)).otherwise(F.col(c)) for c in changed}
+    return joined.select(*[values.get(c, F.col(c)).alias(c) for c in rows.columns])
 
 
 def snapshot_changes(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -108,7 +121,8 @@ def put_resources(
 ) -> DataFrame:
     """Idempotent put by key: a put replaces what is stored under its key, the last one wins."""
     columns = store.columns
-    new = ranked_first(puts, keys, order).select(
+    latest = latest_per_key(puts, keys, order)
+    new = latest.withColumn("_spread", null_key_spread(latest, keys)).select(
         *keys, "_spread", F.struct(*columns).alias("_new")
     )
     old = store.withColumn("_spread", null_key_spread(store, keys)).select(

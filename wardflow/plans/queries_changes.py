@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wardflow.operators.keys import latest_per_key
-from wardflow.operators.merge import merge_changes, put_resources, snapshot_changes
+from wardflow.operators.merge import as_inserts, merge_changes, put_resources, snapshot_changes
 from wardflow.plans import standins as d
 from wardflow.plans.catalog import query
+from wardflow.session import scratch_path
+from wardflow.streaming.upsert import ProcessedTable
 
 COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
 
@@ -100,6 +102,49 @@ def merge_latest_change(spark, sf_dir):
     )
 
 
+def mixed_changes(spark, sf_dir):
+    """Changes of held and new keys at once: each order's change, an insert beside it, a repeated insert of
+    every tenth order, and changes without a key."""
+    own = changes(spark, sf_dir)
+    beside = own.withColumn("action", F.lit("INSERT")).withColumn("o_orderstatus", F.lit("I"))
+    again = beside.filter(F.col("o_orderkey") % 10 == 0)
+    keyless = own.filter(F.col("o_orderkey") % 50 == 0).withColumn(
+        "o_orderkey", F.lit(None).cast(own.schema["o_orderkey"].dataType)
+    )
+    return own.unionByName(beside).unionByName(again).unionByName(keyless)
+
+
+MIXED_SQL = """mixed as (
+    select * from changes
+    union all select o_orderkey, o_custkey, 'I', o_totalprice, o_orderdate, 'INSERT' from changes
+    union all select o_orderkey, o_custkey, 'I', o_totalprice, o_orderdate, 'INSERT' from changes
+      where o_orderkey % 10 = 0
+    union all select null, o_custkey, o_orderstatus, o_totalprice, o_orderdate, action from changes
+      where o_orderkey % 50 = 0)"""
+
+
+@query("merge_mixed_batch", f"with {TARGET_SQL}, {CHANGES_SQL}, {MIXED_SQL} {merged_sql('mixed')}")
+def merge_mixed_batch(spark, sf_dir):
+    return merge_changes(processed(spark, sf_dir), mixed_changes(spark, sf_dir), ["o_orderkey"])
+
+
+@query(
+    "processed_mixed_batch",
+    f"""with {TARGET_SQL}, {CHANGES_SQL}, {MIXED_SQL}, merged as ({merged_sql('mixed')})
+    select 'large' as segments, * from merged union all select 'tiny', * from merged""",
+)
+def processed_mixed_batch(spark, sf_dir):
+    """The same through processed tables that hardly ever and always put their segments together."""
+    found = []
+    for name, most in (("large", 1000), ("tiny", 1)):
+        target = processed(spark, sf_dir)
+        table = ProcessedTable.create(target, scratch_path(spark, "mixed"), ["o_orderkey"], most)
+        table.apply(as_inserts(target))
+        table.apply(mixed_changes(spark, sf_dir))
+        found.append(table.read().select(F.lit(name).alias("segments"), "*"))
+    return found[0].unionByName(found[1])
+
+
 @query(
     "latest_versions",
     f"with {CHANGES_SQL}, {VERSIONED_SQL}, {_NEWEST} select * from newest",

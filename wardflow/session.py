@@ -77,5 +77,14 @@ def discard(spark: SparkSession, path: str) -> None:
     """Remove a scratch table that nothing reads any more."""
     if not path.startswith(f"{shared_folder(spark)}/wardflow/"):
         raise ValueError(f"not a scratch path: {path}")
+    delete_folder(spark, path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it is in.
+
+    The one place that goes through the JVM gateway, since PySpark has no call for it; it needs a
+    classic session.
+    """
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

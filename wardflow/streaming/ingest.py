@@ -90,7 +90,7 @@ def load_resource_stream(
         rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
         bad.write.mode("overwrite").parquet(f"{rejects}/batch_id={batch_id}")
 
-    return _for_each(docs, write, checkpoint, trigger)
+    return for_each_batch(docs, write, checkpoint, trigger)
 
 
 def write_csv_batches(
@@ -126,7 +126,7 @@ def write_csv_batches(
             )
             record_load(counts, audit, table, batch_id)
 
-    return _for_each(messages, write, checkpoint, trigger)
+    return for_each_batch(messages, write, checkpoint, trigger)
 
 
 def ingest_messages(
@@ -159,7 +159,7 @@ def ingest_messages(
                 rejected = rejected.withColumn("file_name", F.lit(None).cast("string"))
             record_load(count_by_file(rejected, "_rejected"), audit, table, batch_id)
 
-    return _for_each(messages, write, checkpoint, trigger)
+    return for_each_batch(messages, write, checkpoint, trigger)
 
 
 def read_ingested(spark: SparkSession, path: str, schema: T.StructType, outcome: str) -> DataFrame:
@@ -176,8 +176,9 @@ def read_ingested(spark: SparkSession, path: str, schema: T.StructType, outcome:
     return rows.select(*schema.names)
 
 
-def _for_each(
+def for_each_batch(
     stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, trigger: dict
 ) -> StreamingQuery:
+    """Run ``write`` on every micro-batch; one that fails is replayed with the same number."""
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return writer.trigger(**trigger).start()
