@@ -195,7 +195,7 @@ with pieces as (
     from reported group by doc_id
 )
 select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
-    sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans,
+    sha256(coalesce(base, '')) as base_sha256, coalesce(per_doc.spans, '') as spans,
     coalesce(n_live, 0) as n_live, coalesce(n_example, 0) as n_example
 from documents left join per_doc using (doc_id)
 """
