@@ -302,13 +302,22 @@ def test_register_to_table(spark, practices, tmp_path):
     assert rejected.count() == 0
     loaded = jobs.load_resource(spark, store, "Organization")
     assert sorted(r.id for r in loaded.collect()) == ["10002", "10003"]
-    done = loaded.select("id").filter("id = '10002'")
-    jobs.produce_resources(practices, "Organization", inputs, store, done=done)
-    assert sorted(r.id for r in jobs.load_resource(spark, store, "Organization").collect()) == [
-        "10002", "10003", "10003",
-    ]
+    done = str(tmp_path / "done")
+    spark.createDataFrame([("10002",)], "id string").write.parquet(done)
+    for _ in range(2):
+        jobs.produce_resources(practices, "Organization", inputs, store, done=done)
+        found = jobs.load_resource(spark, store, "Organization")
+        assert sorted(r.id for r in found.collect()) == ["10002", "10003"]
+        assert sorted(r.id for r in spark.read.parquet(done).collect()) == ["10002", "10003"]
+    changed = {**inputs, "family": F.lit("Poe")}
+    jobs.produce_resources(practices, "Organization", changed, store)
+    loaded = jobs.load_resource(spark, store, "Organization")
+    assert loaded.count() == 2
+    assert "Poe" in (tmp_path / "store" / "Organization").glob("part*").__next__().read_text()
     tables = jobs.create_processed({"organization": (loaded, ["id"])}, str(tmp_path / "processed"))
     assert jobs.refresh(tables["organization"], loaded)
+    assert jobs.refresh(tables["organization"], loaded)
+    assert tables["organization"].read().count() == 2
     row = tables["organization"].read().filter("id = '10002'").first()
     assert row.address == "Mill House, Northtown"
     assert row.raw_data.toPython()["resourceType"] == "Organization"

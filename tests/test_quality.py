@@ -8,6 +8,7 @@ from wardflow.operators.quality import (
     round_columns,
     split_counts,
     split_missing,
+    write_parted,
     write_split,
 )
 from wardflow.plans import jobs
@@ -116,10 +117,6 @@ def test_jobs_from_files_to_tables(spark, tmp_path):
     assert jobs.load_calls(spark, call_out).schema.names == CALLS.names
     row = jobs.load_feedback(spark, feedback_out).first()
     assert (row.call_centre, row.overall_score) == ("East, A", 7)
-    once = jobs.process_in_one_pass(
-        spark, feedback, FEEDBACK, str(tmp_path / "once"), FEEDBACK_SCORES
-    )
-    assert once == jobs.Outcome(1, 1)
 
 
 def test_inferred_schema_is_still_possible(spark, tmp_path):
@@ -150,3 +147,27 @@ def test_loading_keeps_what_fits_and_rejects_the_rest(spark, tmp_path):
     assert good.count() == 2
     rejected = spark.read.parquet(str(tmp_path / "rejects")).collect()
     assert [(r.call_id, r.bad_columns) for r in rejected] == [("CL-2", ["satisfaction_score"])]
+
+
+def test_quarantined_scores_stay_as_they_came(spark, tmp_path):
+    rows = spark.createDataFrame([(1, 6.5, None), (2, 6.5, "x")], "id int, score double, note string")
+    counts = write_parted(
+        rows, str(tmp_path / "clean"), str(tmp_path / "missing"), "t", str(tmp_path / "staging"), ["score"]
+    )
+    assert counts == {"clean": 1, "missing": 1}
+    assert spark.read.parquet(str(tmp_path / "clean")).first().score == 7.0
+    kept = spark.read.parquet(str(tmp_path / "missing")).first()
+    assert (kept.score, kept.dataset) == (6.5, "t")
+
+
+def test_the_source_is_scanned_once(spark, tmp_path):
+    reads = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(10).selectExpr("id", "nullif(id % 3, 0) as v").mapInArrow(count, "id long, v long")
+    write_parted(rows, str(tmp_path / "c"), str(tmp_path / "q"), "t", str(tmp_path / "s"))
+    assert reads.value == 10

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,21 +37,36 @@ def page(*codes):
     return {"result": {"records": [{"PracticeCode": c, "GPPracticeName": f"N{c}"} for c in codes]}}
 
 
-def test_pages_end_at_the_first_short_one(spark, tmp_path):
-    for number, body in enumerate([page(5, 4), page(3, 2), page(1), page(9, 8)]):
-        (tmp_path / f"register-{number}.json").write_text(json.dumps(body, indent=1))
-    records = explode_pages(read_pages(spark, str(tmp_path)), limit=2)
+def landed(folder, *pages):
+    for number, body in enumerate(pages):
+        (folder / f"register-{number}.json").write_text(json.dumps(body, indent=1))
+    return str(folder)
+
+
+def test_all_records_of_landed_pages_are_kept(spark, tmp_path):
+    path = landed(tmp_path, page(5, 4), page(3), page(), page(2, 9, 8))
+    records = explode_pages(read_pages(spark, path))
     found = [(r.ordinal, r.PracticeCode) for r in records.orderBy("ordinal").collect()]
-    assert found == [(1, 5), (2, 4), (3, 3), (4, 2), (5, 1)]
+    assert found == [(1, 5), (2, 4), (3, 3), (4, 2), (5, 9), (6, 8)]
     assert [r.PracticeCode for r in first_records(records, 2).collect()] == [5, 4]
 
 
-def test_an_empty_page_ends_the_register(spark, tmp_path):
-    for number, body in enumerate([page(1, 2), page(), page(3, 4)]):
-        (tmp_path / f"{number}.json").write_text(json.dumps(body))
-    assert explode_pages(read_pages(spark, str(tmp_path)), limit=2).count() == 2
-    only_full = read_pages(spark, str(tmp_path)).filter("page_no = 0")
-    assert explode_pages(only_full, limit=2).count() == 2
+@pytest.mark.parametrize(
+    ("pages", "reason"),
+    [
+        ((page(1, 2), page(3), page(4, 5)), "records after the last page"),
+        ((page(1, 2), page(), page(3)), "records after the last page"),
+        ((page(1, 2, 3),), "more than 2 records"),
+    ],
+)
+def test_pages_that_do_not_fit_their_limit_fail(spark, tmp_path, pages, reason):
+    with pytest.raises(Exception, match=reason):
+        explode_pages(read_pages(spark, landed(tmp_path, *pages)), limit=2).collect()
+
+
+def test_pages_within_their_limit(spark, tmp_path):
+    path = landed(tmp_path, page(1, 2), page(3), page())
+    assert explode_pages(read_pages(spark, path), limit=2).count() == 3
 
 
 def test_parquet_by_name_pattern_and_column_name(spark, tmp_path):

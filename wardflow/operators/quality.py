@@ -52,15 +52,47 @@ def write_split(
 
     The counts come from the same pass, so the source is read once.
     """
+    flag = has_missing(df, columns)
+    return _counted(df.withColumn(OUTCOME, F.when(flag, MISSING).otherwise(CLEAN)), path, mode)
+
+
+def write_parted(
+    df: DataFrame,
+    clean: str,
+    quarantine: str,
+    dataset: str,
+    staging: str,
+    rounded: Sequence[str] = (),
+    columns: Sequence[str] | None = None,
+) -> dict[str, int]:
+    """Read the source once and append complete rows to ``clean`` and incomplete ones to the shared
+    ``quarantine`` (as ``dataset``); ``rounded`` columns of complete rows become whole numbers.
+
+    The one pass writes both halves to ``staging`` in columnar form, from where each goes to its place;
+    nothing is parsed or tested twice. Returns the counts, which come from the same pass.
+    """
+    flag = has_missing(df, columns)
+    values = {c: F.when(flag, F.col(c)).otherwise(F.round(F.col(c))).cast(df.schema[c].dataType) for c in rounded}
+    kept = df.withColumn(OUTCOME, F.when(flag, MISSING).otherwise(CLEAN))
+    counts = _counted(kept.withColumns(values) if values else kept, staging, "errorifexists")
+    spark = df.sparkSession
+    if counts[CLEAN]:
+        spark.read.schema(df.schema).parquet(f"{staging}/{OUTCOME}={CLEAN}").write.mode("append").parquet(clean)
+    if counts[MISSING]:
+        rows = spark.read.schema(df.schema).parquet(f"{staging}/{OUTCOME}={MISSING}")
+        named = rows.withColumn("dataset", F.lit(dataset))
+        named.write.mode("append").partitionBy("dataset").parquet(quarantine)
+    return counts
+
+
+def _counted(flagged: DataFrame, path: str, mode: str) -> dict[str, int]:
     seen = Observation()
-    flagged = df.withColumn(
-        OUTCOME, F.when(has_missing(df, columns), MISSING).otherwise(CLEAN)
-    ).observe(
+    counted = flagged.observe(
         seen,
         F.count_if(F.col(OUTCOME) == CLEAN).alias(CLEAN),
         F.count_if(F.col(OUTCOME) == MISSING).alias(MISSING),
     )
-    flagged.write.mode(mode).partitionBy(OUTCOME).parquet(path)
+    counted.write.mode(mode).partitionBy(OUTCOME).parquet(path)
     return seen.get
 
 

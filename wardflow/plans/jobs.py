@@ -6,17 +6,19 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardflow.documents.build import BUILDERS, Inputs
 from wardflow.documents.flatten import flatten, flatten_or_reject
-from wardflow.documents.rules import POLICIES, RULES, require_rows, validate
+from wardflow.documents.rules import FAIL, NONE, POLICIES, RULES, require_rows, write_checked
 from wardflow.documents.specs import SPECS
 from wardflow.operators.keys import skip_processed
 from wardflow.operators.merge import as_inserts
-from wardflow.operators.quality import cast_or_reject, round_columns, split_missing, write_split
+from wardflow.operators.quality import CLEAN, MISSING, cast_or_reject, write_parted
 from wardflow.schemas import CALLS, FEEDBACK, FEEDBACK_SCORES, FEEDBACK_TABLE
-from wardflow.sinks.files import append_if_any, append_quarantine, append_rows, write_resources
+from wardflow.session import discard, folder_exists, scratch_path
+from wardflow.sinks.files import append_if_any, put_documents
 from wardflow.sources.files import match_columns, read_csv_dir, read_parquet_dir, read_resource
 from wardflow.streaming.upsert import ProcessedTable
 
@@ -30,34 +32,29 @@ class Outcome:
 
 
 def process_calls(spark: SparkSession, source: str, clean: str, quarantine: str) -> Outcome:
-    """Call files to complete rows and quarantined ones."""
-    good, bad = split_missing(read_csv_dir(spark, source, CALLS))
-    return _write_both(good, bad, clean, quarantine, "calls")
+    """Call files to complete rows and quarantined ones; the files are read once."""
+    return _process(spark, source, CALLS, clean, quarantine, "calls")
 
 
 def process_feedback(spark: SparkSession, source: str, clean: str, quarantine: str) -> Outcome:
-    """Feedback files likewise; the scores of complete rows are rounded."""
-    good, bad = split_missing(read_csv_dir(spark, source, FEEDBACK))
-    return _write_both(
-        round_columns(good, FEEDBACK_SCORES), bad, clean, quarantine, "feedback"
-    )
+    """Feedback files likewise; the scores of complete rows are rounded, quarantined ones stay."""
+    return _process(spark, source, FEEDBACK, clean, quarantine, "feedback", FEEDBACK_SCORES)
 
 
-def process_in_one_pass(
-    spark: SparkSession, source: str, schema: T.StructType, path: str, rounded: Sequence[str] = ()
-) -> Outcome:
-    """Both halves below one folder, reading the source once; the form for very large inputs."""
-    rows = round_columns(read_csv_dir(spark, source, schema), list(rounded))
-    counts = write_split(rows, path)
-    return Outcome(counts["clean"], counts["missing"])
-
-
-def _write_both(
-    good: DataFrame, bad: DataFrame, clean: str, quarantine: str, dataset: str
+def _process(
+    spark: SparkSession,
+    source: str,
+    schema: T.StructType,
+    clean: str,
+    quarantine: str,
+    dataset: str,
+    rounded: Sequence[str] = (),
 ) -> Outcome:
-    missing = append_quarantine(bad, quarantine, dataset)
-    written = 0 if good.isEmpty() else append_rows(good, clean)
-    return Outcome(written, missing)
+    staging = scratch_path(spark, f"staging-{dataset}")
+    rows = read_csv_dir(spark, source, schema)
+    counts = write_parted(rows, clean, quarantine, dataset, staging, list(rounded))
+    discard(spark, staging)
+    return Outcome(counts[CLEAN], counts[MISSING])
 
 
 def load_calls(spark: SparkSession, clean: str) -> DataFrame:
@@ -92,18 +89,33 @@ def produce_resources(
     resource: str,
     inputs: Inputs,
     store: str,
-    done: DataFrame | None = None,
+    done: str | None = None,
 ) -> DataFrame:
-    """Build, check and store the documents of one resource type.
+    """Build and check the documents of one resource type in one pass, and put the good ones by id.
 
-    Bad documents are treated by the policy of their type; ids in ``done`` are not stored again.
-    Returns the rejected documents with their errors.
+    Bad documents are treated by the policy of their type; they are returned with their errors. With
+    a ``done`` folder, ids listed there are not stored again, and the ids stored now are added to it
+    once the store is written. A run that failed in between puts the same documents again, which
+    changes nothing.
     """
+    spark = rows.sparkSession
     docs = BUILDERS[resource](require_rows(rows, "practice"), inputs)
-    valid, rejected = validate(docs, RULES[resource], POLICIES[resource])
+    checked = scratch_path(spark, f"checked-{resource.lower()}")
+    write_checked(docs, RULES[resource], checked)
+    full = T.StructType(docs.schema.fields).add("errors", T.ArrayType(T.StringType())).add("outcome", T.StringType())
+    held = spark.read.schema(full).parquet(checked)
+    good = F.col("outcome") == "valid"
+    policy = POLICIES[resource]
+    rejected = held.filter(~good).drop("outcome")
+    if policy == FAIL and not rejected.isEmpty():
+        raise ValueError(f"invalid document: {rejected.first().errors}")
+    stored = (held if policy == NONE else held.filter(good)).select(*docs.columns)
+    if done is not None:
+        known = spark.read.schema("id string").parquet(done) if folder_exists(spark, done) else None
+        stored = stored if known is None else skip_processed(stored, known, "id")
+    put_documents(stored, store, resource)
     if done is not None:
-        valid = skip_processed(valid, done, "id")
-    write_resources(valid, store, resource)
+        stored.select("id").distinct().write.mode("append").parquet(done)
     return rejected
 
 

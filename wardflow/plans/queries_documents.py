@@ -12,6 +12,7 @@ from wardflow import codes
 from wardflow.documents import build, specs
 from wardflow.documents.flatten import flatten
 from wardflow.documents.rules import RULES, SKIP, validate, with_errors
+from wardflow.operators.ordinals import with_ordinal
 from wardflow.plans import standins as d
 from wardflow.plans.catalog import query
 from wardflow.plans.standins import sql_pick, with_tables
@@ -199,25 +200,29 @@ def build_practitioner_role(spark, sf_dir):
     )
 
 
-def _copies(spark, sf_dir, name: str, key: str):
-    """Numbered copies of the practices, as many as the named table has rows, joined with them."""
+def copies(spark, sf_dir, name: str, key: str):
+    """Numbered copies of the practices, one for every row of the named table by its place, with that row.
+
+    The share is rounded up, so the last practices may have fewer copies, and no row is left out.
+    """
+    named = with_ordinal(d.table(spark, sf_dir, name), [key], "place")
+    practices = d.table(spark, sf_dir, "supplier").agg(F.count("*")).scalar()
     total = d.table(spark, sf_dir, name).agg(F.count("*")).scalar()
-    each = build.share_per_practice(d.table(spark, sf_dir, "supplier"), total)
-    rows = build.numbered_copies(d.register(spark, sf_dir), each)
-    return rows.join(d.table(spark, sf_dir, name), F.col("counter") == F.col(key) + 1)
+    rows = build.numbered_copies(d.register(spark, sf_dir), F.ceil(total / practices))
+    return rows.join(named, F.col("counter") == F.col("place"))
 
 
-def _copies_sql(name: str, key: str) -> str:
-    each = f"((select count(*) from {name}) // (select count(*) from supplier))"
-    return f"""copies as (
-        select *, (counter - 1) % 100 + 1 as number from (
-          select *, (ordinal - 1) * {each} + n as counter from register,
-            (select unnest(range(1, 1 + {each})) as n)) c
-        join {name} on c.counter = {key} + 1)"""
+def copies_sql(name: str, key: str) -> str:
+    return f"""placed as (select *, row_number() over (order by {key}) as place from {name}),
+        share as (select (count(*) + s.n - 1) // s.n as each from {name}, (select count(*) as n from supplier) s
+          group by s.n),
+        copies as (
+          select register.*, placed.*, place as counter, (place - 1) % 100 + 1 as number
+          from placed, share join register on ordinal = (place - 1) // each + 1)"""
 
 
 def _from_copies(name: str, key: str, body: str) -> str:
-    return with_tables("register", body=f", {_copies_sql(name, key)} {body}")
+    return with_tables("register", body=f", {copies_sql(name, key)} {body}")
 
 
 _LANGUAGES = tuple(codes.LANGUAGES)
@@ -251,8 +256,8 @@ def _patient_inputs():
     }
 
 
-def _patients(spark, sf_dir, **planted):
-    rows = _copies(spark, sf_dir, "customer", "c_custkey")
+def patients(spark, sf_dir, **planted):
+    rows = copies(spark, sf_dir, "customer", "c_custkey")
     return build.build_patient(rows, {**_patient_inputs(), **planted})
 
 
@@ -282,7 +287,7 @@ def _patients(spark, sf_dir, **planted):
     ),
 )
 def flatten_patient(spark, sf_dir):
-    return _flat(_patients(spark, sf_dir), specs.PATIENT)
+    return _flat(patients(spark, sf_dir), specs.PATIENT)
 
 
 _TYPES = tuple(codes.PARTICIPATION_TYPES) + tuple(codes.PARTICIPANT_TYPES)
@@ -302,8 +307,8 @@ def _appointment_inputs():
     }
 
 
-def _appointments(spark, sf_dir, **planted):
-    rows = _copies(spark, sf_dir, "orders", "o_orderkey")
+def appointments(spark, sf_dir, **planted):
+    rows = copies(spark, sf_dir, "orders", "o_orderkey")
     return build.build_appointment(rows, {**_appointment_inputs(), **planted})
 
 
@@ -330,7 +335,7 @@ _PRACTITIONER_KEY_SQL = "\"PracticeCode\" || '-practitioner' || (o_custkey % 10
     ),
 )
 def flatten_appointment(spark, sf_dir):
-    rows = _flat(_appointments(spark, sf_dir), specs.APPOINTMENT)
+    rows = _flat(appointments(spark, sf_dir), specs.APPOINTMENT)
     actor = F.variant_get("participant", "$[1].actor.display", "string")
     return rows.withColumn("second_actor", actor).drop("participant")
 
@@ -353,7 +358,7 @@ def _condition_inputs():
 
 
 def _conditions(spark, sf_dir, **planted):
-    rows = _copies(spark, sf_dir, "events", "event_id")
+    rows = copies(spark, sf_dir, "events", "event_id")
     return build.build_condition(rows, {**_condition_inputs(), **planted})
 
 
@@ -402,7 +407,7 @@ _BAD_STATUSES = codes.APPOINTMENT_STATUSES + ("lost",)
 _BAD_PARTICIPANT = codes.PARTICIPANT_STATUSES + ("perhaps",)
 
 
-def _faulty_patients(spark, sf_dir):
+def _faultypatients(spark, sf_dir):
     base = F.lit("2024-06-30").cast("date")
     return _patients(
         spark,
@@ -429,7 +434,7 @@ _PERIOD_FAULT = "c_custkey % 300 > (c_custkey * 7) % 300"
     ),
 )
 def validate_resources(spark, sf_dir):
-    valid, _ = validate(_faulty_patients(spark, sf_dir), RULES["Patient"], SKIP)
+    valid, _ = validate(_faultypatients(spark, sf_dir), RULES["Patient"], SKIP)
     phone = F.get_json_object("resource_json", "$.telecom[0].value")
     return valid.select("id", phone.alias("phone"))
 
@@ -449,7 +454,7 @@ def validate_resources(spark, sf_dir):
     ),
 )
 def rejected_resources(spark, sf_dir):
-    _, rejected = validate(_faulty_patients(spark, sf_dir), RULES["Patient"], SKIP)
+    _, rejected = validate(_faultypatients(spark, sf_dir), RULES["Patient"], SKIP)
     phone = F.get_json_object("resource_json", "$.telecom[0].value")
     return rejected.select(
         "id", phone.alias("phone"), F.array_join("errors", "; ").alias("errors")

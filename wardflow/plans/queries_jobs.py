@@ -11,9 +11,9 @@ from wardflow.operators.merge import empty_like
 from wardflow.plans import jobs, reports
 from wardflow.plans import standins as d
 from wardflow.plans.catalog import query
-from wardflow.plans.queries_documents import _appointments, _copies_sql, _patients
+from wardflow.plans.queries_documents import appointments, copies_sql, patients
 from wardflow.plans.standins import with_tables
-from wardflow.schemas import CALLS, FEEDBACK, QUARANTINE
+from wardflow.schemas import CALLS, FEEDBACK, FEEDBACK_SCORES, QUARANTINE
 from wardflow.session import scratch_path
 from wardflow.sinks.files import (
     load_by_position,
@@ -162,7 +162,7 @@ def reloaded_table(spark, sf_dir):
     with_tables(
         "register",
         body=f"""
-        , {_copies_sql("orders", "o_orderkey")}
+        , {copies_sql("orders", "o_orderkey")}
         select 'A' || format('{{:05d}}', counter) as id,
           case when o_orderstatus = 'P' then 'rejected' else 'valid' end as outcome,
           case when o_orderstatus = 'P' then 'status code' else '' end as errors from copies""",
@@ -171,7 +171,7 @@ def reloaded_table(spark, sf_dir):
 def checked_in_one_pass(spark, sf_dir):
     status = F.when(F.col("o_orderstatus") == "P", "lost").otherwise("booked")
     path = scratch_path(spark, "checked")
-    write_checked(_appointments(spark, sf_dir, status=status), RULES["Appointment"], path)
+    write_checked(appointments(spark, sf_dir, status=status), RULES["Appointment"], path)
     return spark.read.parquet(path).select(
         "id", "outcome", F.array_join("errors", "; ").alias("errors")
     )
@@ -193,13 +193,13 @@ def csv_inferred(spark, sf_dir):
     with_tables(
         "register",
         body=f"""
-        , {_copies_sql("customer", "c_custkey")}
+        , {copies_sql("customer", "c_custkey")}
         select 'P' || "PracticeCode" || '-' || format('{{:02d}}', number) as id, c_name as family from copies""",
     ),
 )
 def validate_or_fail(spark, sf_dir):
     """Under the strict policy sound documents pass; one bad document would fail the job."""
-    valid, _ = validate(_patients(spark, sf_dir), RULES["Patient"], FAIL)
+    valid, _ = validate(patients(spark, sf_dir), RULES["Patient"], FAIL)
     return valid.select("id", F.get_json_object("resource_json", "$.name[0].family").alias("family"))
 
 
@@ -208,12 +208,12 @@ def validate_or_fail(spark, sf_dir):
     with_tables(
         "register",
         body=f"""
-        , {_copies_sql("orders", "o_orderkey")}
+        , {copies_sql("orders", "o_orderkey")}
         select 'A' || format('{{:05d}}', counter) as id, 'lost' as status from copies""",
     ),
 )
 def validate_none(spark, sf_dir):
-    docs = _appointments(spark, sf_dir, status=F.lit("lost"))
+    docs = appointments(spark, sf_dir, status=F.lit("lost"))
     passed, _ = validate(docs, RULES["Appointment"], NONE)
     return passed.select("id", F.get_json_object("resource_json", "$.status").alias("status"))
 
@@ -221,15 +221,13 @@ def validate_none(spark, sf_dir):
 @query(
     "resources_end_to_end",
     with_tables(
-        "practices",
-        body="""
-        select p."PracticeCode" || '-practitioner' || k.n as practitioner_id,
-          case when k.n = 1 then 'Jo Family' || p."PracticeCode" end as practitioner_name,
+        "register",
+        body=f"""
+        , {copies_sql("orders", "o_orderkey")}
+        select "PracticeCode" || '-practitioner' || n as practitioner_id,
+          case when n = 1 then 'Jo Family' || "PracticeCode" end as practitioner_name,
           count(*) as total_appointments
-        from practices p join (select o_custkey % 10 + 1 as n, o_orderkey,
-            o_orderkey // ((select count(*) from orders) // (select count(*) from supplier)) as place from orders) k
-          on p."PracticeCode" = k.place
-        group by all""",
+        from (select *, o_custkey % 10 + 1 as n from copies) group by all""",
     ),
 )
 def resources_end_to_end(spark, sf_dir):
@@ -250,9 +248,61 @@ def resources_end_to_end(spark, sf_dir):
     docs = build.build_practitioner(practices, practitioner, number=F.lit(1))
     valid, _ = validate(docs, RULES["Practitioner"], FAIL)
     write_resources(valid, store, "Practitioner")
-    appointments, _ = validate(_appointments(spark, sf_dir), RULES["Appointment"])
-    write_resources(appointments, store, "Appointment")
+    booked, _ = validate(appointments(spark, sf_dir), RULES["Appointment"])
+    write_resources(booked, store, "Appointment")
     return reports.count_by_reference(
         jobs.load_resource(spark, store, "Appointment"),
         jobs.load_resource(spark, store, "Practitioner"),
     )
+
+
+@query(
+    "resources_rerun",
+    with_tables(
+        "practices",
+        body="""
+        select cast("PracticeCode" as varchar) as id, 1 as stored, 1 as done, 1 as processed from practices""",
+    ),
+)
+def resources_rerun(spark, sf_dir):
+    """The resource job and the merge of its rows, twice: one row per id in the store, the list of ids
+    done and the processed table."""
+    store, done = scratch_path(spark, "store"), scratch_path(spark, "done")
+    inputs = {"family": F.lit("F"), "given": F.lit("G"), "phone": F.lit("none")}
+    table = None
+    for _ in range(2):
+        jobs.produce_resources(d.practices(spark, sf_dir), "Organization", inputs, store, done)
+        loaded = jobs.load_resource(spark, store, "Organization")
+        if table is None:
+            root = scratch_path(spark, "processed")
+            table = jobs.create_processed({"organization": (loaded, ["id"])}, root)["organization"]
+        jobs.refresh(table, loaded)
+
+    def counted(rows, name):
+        return rows.groupBy("id").agg(F.count("*").cast("int").alias(name))
+
+    known = counted(spark.read.parquet(done), "done")
+    return counted(loaded, "stored").join(known, "id").join(counted(table.read(), "processed"), "id")
+
+
+@query(
+    "feedback_quarantine",
+    """
+    select 'FB-' || event_id as feedback_id, value + 0.5 as overall_score, 'feedback' as dataset
+    from events where event_type = 'error'""",
+)
+def feedback_quarantine(spark, sf_dir):
+    """Feedback without comments is quarantined with its scores as they came."""
+    events = d.table(spark, sf_dir, "events")
+    known = {
+        "feedback_id": F.concat(F.lit("FB-"), F.col("event_id")),
+        "timestamp": F.col("ts"),
+        "overall_score": F.col("value") + 0.5,
+        "comments": F.when(F.col("event_type") != "error", F.col("event_type")),
+    }
+    filler = {f.name: F.lit("7" if f.name in FEEDBACK_SCORES else "x") for f in FEEDBACK}
+    source, quarantine = scratch_path(spark, "feedback-files"), scratch_path(spark, "quarantine")
+    rows = events.select(*[known.get(c, filler[c]).alias(c) for c in FEEDBACK.names])
+    rows.write.option("header", True).csv(source)
+    jobs.process_feedback(spark, source, scratch_path(spark, "feedback"), quarantine)
+    return read_quarantine(spark, quarantine, QUARANTINE).select("feedback_id", "overall_score", "dataset")

@@ -258,6 +258,17 @@ def page_records(spark, sf_dir):
     return explode_pages(_register_pages(spark, sf_dir), _PAGE_LIMIT)
 
 
+@query("page_records_uneven", with_tables("register", body="select * from register"))
+def page_records_uneven(spark, sf_dir):
+    """Pages of very different sizes, short ones in the middle: every landed record is kept."""
+    practices = d.practices(spark, sf_dir)
+    uneven = F.floor(F.sqrt(F.col("PracticeCode") + 1)).alias("page_no")
+    pages = practices.groupBy(uneven).agg(
+        F.struct(F.array_sort(F.collect_list(F.struct(*practices.columns))).alias("records")).alias("result")
+    )
+    return explode_pages(materialize(pages, "pages"))
+
+
 @query(
     "first_records",
     with_tables(

@@ -43,9 +43,12 @@ _FEEDBACK = T.StructType(
 
 
 def _lines(spark, sf_dir):
-    """Events as a stream of feedback lines; errors lack their score."""
+    """Events as a stream of feedback lines; errors lack their score.
+
+    The pattern lets the table be one file or a folder of parts, which a plain stream path does not.
+    """
     schema = d.table(spark, sf_dir, "events").schema
-    events = file_stream(spark, sf_dir, schema, glob="events.parquet")
+    events = file_stream(spark, f"{sf_dir}/events.parque[t]", schema)
     feedback = events.select(
         F.concat(F.lit("FB-"), F.col("event_id")).alias("feedback_id"),
         F.concat(F.lit("P"), F.col("user_id")).alias("patient_id"),
@@ -112,7 +115,7 @@ def stream_csv_batches(spark, sf_dir):
 @query(
     "load_audit",
     """
-    select 'feedback' as table_name, cast(0 as bigint) as batch_id, 'events.parquet' as file_name,
+    select 'feedback' as table_name, cast(0 as bigint) as batch_id, 'events.parquet' as table_file,
       count(*) as row_count, count(*) filter (where event_type = 'error') as reject_count
     from events""",
 )
@@ -128,7 +131,11 @@ def load_audit_query(spark, sf_dir):
     )
     job.awaitTermination()
     noted = load_audit(spark, audit, "feedback").drop("loaded_at")
-    return noted.withColumn("file_name", F.regexp_substr("file_name", F.lit("[^/]+$")))
+    # A table may be one file or a folder of parts.
+    table_file = F.regexp_substr("file_name", F.lit("events[.]parquet")).alias("table_file")
+    return noted.groupBy("table_name", "batch_id", table_file).agg(
+        F.sum("row_count").alias("row_count"), F.sum("reject_count").alias("reject_count")
+    )
 
 
 def _change_files(spark, sf_dir) -> str:

@@ -81,10 +81,19 @@ def discard(spark: SparkSession, path: str) -> None:
 
 
 def delete_folder(spark: SparkSession, path: str) -> None:
-    """Delete a folder in whatever store it is in.
+    """Delete a folder in whatever store it is in."""
+    _store(spark, path)[0].delete(_store(spark, path)[1], True)
 
-    The one place that goes through the JVM gateway, since PySpark has no call for it; it needs a
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    return _store(spark, path)[0].exists(_store(spark, path)[1])
+
+
+def _store(spark: SparkSession, path: str):
+    """The store a path is in, and the path in its terms.
+
+    The one place that goes through the JVM gateway, since PySpark has no call for this; it needs a
     classic session.
     """
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardflow.operators.merge import empty_like
+from wardflow.operators.keys import latest_per_key
+from wardflow.operators.merge import empty_like, put_resources
+from wardflow.session import folder_exists, materialize
 
 
 def append_rows(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
@@ -65,6 +67,27 @@ def write_resources(df: DataFrame, root: str, resource: str) -> None:
     write_documents(df, f"{root.rstrip('/')}/{resource}")
 
 
+def put_documents(df: DataFrame, root: str, resource: str, body: str = "resource_json") -> None:
+    """Put documents (``id`` and their text) into the folder of their resource type, by id.
+
+    A document whose id is stored already replaces the stored one; of several with one id the text
+    that sorts last wins. Without such ids the new lines are only added; otherwise the folder is
+    written again, from a copy in the scratch folder.
+    """
+    spark, path = df.sparkSession, f"{root.rstrip('/')}/{resource}"
+    puts = materialize(df.select("id", F.col(body).alias("value")), "puts")
+    if not folder_exists(spark, path):
+        latest_per_key(puts, ["id"], ["value"]).select("value").write.text(path)
+        return
+    lines = spark.read.text(path)
+    held = lines.select(F.get_json_object("value", "$.id").alias("id"), "value")
+    if held.join(puts, "id", "left_semi").isEmpty():
+        latest_per_key(puts, ["id"], ["value"]).select("value").write.mode("append").text(path)
+        return
+    merged = materialize(put_resources(held, puts, ["id"], ["value"]), "store")
+    merged.select("value").write.mode("overwrite").text(path)
+
+
 def load_by_position(df: DataFrame, table: str, columns: Sequence[str]) -> None:
     """Append to a catalog table, matching ``columns`` to the table's columns by position."""
     df.select(*columns).write.insertInto(table)

@@ -88,12 +88,15 @@ def read_documents(
 
 
 def explode_arrays(docs: DataFrame, body: str = "raw_data") -> DataFrame:
-    """One row per document where the text holds an array of them."""
+    """One row per document where the text holds an array of them.
+
+    Text that begins like an array but is not one stays a single document as it is, for whoever loads
+    it to reject or to fail on.
+    """
     is_array = F.ltrim(F.col(body)).startswith("[")
-    elements = F.when(
-        is_array, F.from_json(F.col(body), "array<string>", {"mode": "FAILFAST"})
-    ).otherwise(F.array(F.col(body)))
-    return docs.withColumn(body, F.explode(elements))
+    elements = F.coalesce(F.from_json(F.col(body), "array<string>"), F.array(F.col(body)))
+    opened = F.when(is_array, elements).otherwise(F.array(F.col(body)))
+    return docs.withColumn(body, F.explode(opened))
 
 
 def read_resource(
