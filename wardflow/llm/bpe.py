@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wardflow.llm.common import bounded_batches, map_texts
 from wardflow.llm.presplit import PieceCoder, Pieces
@@ -243,7 +244,7 @@ def decode(
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary.source)
     kept = [c for c in docs.columns if c != into]
     source = docs.select(*kept, F.col(ids_col).alias("_ids"))
-    schema = docs.select(*kept, F.lit("").alias(into)).schema
+    schema = T.StructType([*[docs.schema[c] for c in kept], T.StructField(into, T.StringType())])
 
     def run(batches):
         labels = Vocabulary.parse(shared.value).labels()
