@@ -185,7 +185,7 @@ def test_organization_document(practices):
     assert first["contact"][0]["telecom"][0]["value"] == "mill-lanesurgery,north@nhs.scot.co.uk"
     assert first["contact"][0]["address"]["line"] == ["Mill House", "Northtown"]
     assert first["contact"][0]["address"]["city"] == "Northtown"
-    assert first["text"]["div"].endswith("Organization resource for Mill-Lane Surgery, North</div>")
+    assert first["text"]["div"].endswith("Practice: Mill-Lane Surgery, North</div>")
     assert made["10003"]["contact"][0]["telecom"][1]["value"] == "none"
     assert made["10003"]["contact"][0]["address"]["city"] == "City"
 
@@ -266,8 +266,20 @@ def test_rules(spark):
         "resourceType": "Endpoint", "id": "e", "status": "error",
         "managingOrganization": {"reference": "Organization/1"},
         "period": {"start": "2021-01-01", "end": "2026-01-01"},
+        "connectionType": {"code": "x"}, "payloadType": [{"coding": [{"code": "any"}]}], "address": "a@b",
     }
     assert errors_of(spark, "Endpoint", endpoint) == ["status code"]
+    bare = {"resourceType": "Endpoint", "id": "e"}
+    assert errors_of(spark, "Endpoint", bare) == [
+        "status required", "connectionType.code required", "payloadType[0].coding[0].code required",
+        "address required",
+    ]
+    assert errors_of(spark, "Appointment", {"resourceType": "Appointment", "id": "a"}) == [
+        "status required", "participant[0].status required",
+    ]
+    assert errors_of(spark, "Condition", {"resourceType": "Condition", "id": "c"}) == [
+        "subject.reference required",
+    ]
     endpoint.update(status="active", period={"start": "2027-01-01", "end": "2026-01-01"})
     assert errors_of(spark, "Endpoint", endpoint) == ["period.start before period.end"]
     condition = {

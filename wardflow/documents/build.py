@@ -125,7 +125,7 @@ def build_organization(practices: DataFrame, inputs: Inputs) -> DataFrame:
         {
             "resourceType": F.lit("Organization"),
             "id": _code(),
-            "text": narrative("Organization resource for ", _name()),
+            "text": narrative("Practice: ", _name()),
             "identifier": _identifier(RECORD_NUMBER, site_of(squashed(_name())), _code()),
             "active": F.lit(True),
             "type": listed(
@@ -149,7 +149,7 @@ def build_endpoint(practices: DataFrame, inputs: Inputs) -> DataFrame:
         {
             "resourceType": F.lit("Endpoint"),
             "id": key,
-            "text": narrative("Endpoint resource for ", _name()),
+            "text": narrative("Electronic access of ", _name()),
             "identifier": _identifier(
                 RECORD_NUMBER, site_of(key), F.concat(F.lit("ENDPOINT-"), _code())
             ),
@@ -195,7 +195,7 @@ def build_practitioner(practices: DataFrame, inputs: Inputs, number: Column | No
         key,
         {
             "resourceType": F.lit("Practitioner"),
-            "text": narrative("Practitioner record for ", _name(), "."),
+            "text": narrative("Member of staff at ", _name()),
             "id": key,
             "identifier": _identifier(
                 PROVIDER_NUMBER,
@@ -226,8 +226,7 @@ def build_practitioner_role(practices: DataFrame, inputs: Inputs) -> DataFrame:
         {
             "resourceType": F.lit("PractitionerRole"),
             "text": narrative(
-                "Practitioner role for ", _name(), " with specialty ",
-                lookup(given["specialty"], codes.SPECIALTIES), " at organization ", _name(), ".",
+                lookup(given["specialty"], codes.SPECIALTIES), " post at ", _name(),
             ),
             "id": _code(),
             "identifier": _identifier(
@@ -381,7 +380,7 @@ def build_appointment(rows: DataFrame, inputs: Inputs) -> DataFrame:
         {
             "resourceType": F.lit("Appointment"),
             "id": key,
-            "text": narrative("Appointment resource for Patient ", patient),
+            "text": narrative("Booking of patient ", patient),
             "identifier": listed(record(use="official", system=codes.APPOINTMENT_ID, value=key)),
             "status": given["status"],
             "description": given["description"],
@@ -409,7 +408,7 @@ def build_condition(rows: DataFrame, inputs: Inputs) -> DataFrame:
         {
             "resourceType": F.lit("Condition"),
             "id": key,
-            "text": narrative("Condition resource for ", patient),
+            "text": narrative("Finding about patient ", patient),
             "clinicalStatus": concept(
                 codes.CLINICAL, given["clinical"], capitalized(given["clinical"])
             ),
@@ -424,7 +423,7 @@ def build_condition(rows: DataFrame, inputs: Inputs) -> DataFrame:
             "severity": coded_as(codes.SNOMED, given["severity"], codes.SEVERITIES),
             "code": coded_as(codes.SNOMED, given["condition"], codes.CONDITION_CODES),
             "subject": reference(
-                "Patient", patient, F.concat(F.lit("Linked to Patient "), patient)
+                "Patient", patient, F.concat(F.lit("Patient "), patient)
             ),
             "onsetDateTime": day_text(given["onset"]),
             "recordedDate": iso_text(given["recorded"]),

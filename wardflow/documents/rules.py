@@ -90,7 +90,11 @@ RULES: dict[str, tuple[Rule, ...]] = {
     "Endpoint": (
         is_type("Endpoint"),
         required("id"),
+        required("status"),
         one_of("status", codes.ENDPOINT_STATUSES),
+        required("connectionType.code"),
+        required("payloadType[0].coding[0].code"),
+        required("address"),
         refers_to("managingOrganization.reference", "Organization"),
         is_date("period.start"),
         is_date("period.end"),
@@ -141,7 +145,9 @@ RULES: dict[str, tuple[Rule, ...]] = {
     "Appointment": (
         is_type("Appointment"),
         required("id"),
+        required("status"),
         one_of("status", codes.APPOINTMENT_STATUSES),
+        required("participant[0].status"),
         one_of("participant[0].status", codes.PARTICIPANT_STATUSES),
         one_of("participant[1].status", codes.PARTICIPANT_STATUSES),
         refers_to("participant[0].actor.reference", "Patient"),
@@ -163,6 +169,7 @@ RULES: dict[str, tuple[Rule, ...]] = {
             codes.CONDITION_CATEGORIES,
         ),
         displays("severity.coding[0].code", "severity.coding[0].display", codes.SEVERITIES),
+        required("subject.reference"),
         refers_to("subject.reference", "Patient"),
         is_time("onsetDateTime"),
         is_time("recordedDate"),

@@ -163,9 +163,8 @@ _SPECIALTIES = tuple(codes.SPECIALTIES)
           'Organization/' || "PracticeCode" as organization,
           'Endpoint/' || regexp_replace({_SQUASHED_SQL}, '[^a-z0-9-]', '', 'g') as endpoint,
           strftime({_START_SQL}, '%Y-%m-%d') as start_text, 'Practitioner/' || "PracticeCode" || '-p' as practitioner,
-          '<div xmlns="http://www.w3.org/1999/xhtml">Practitioner role for ' || "GPPracticeName"
-            || ' with specialty ' || {sql_pick(tuple(codes.SPECIALTIES.values()), '"PracticeCode"')}
-            || ' at organization ' || "GPPracticeName" || '.</div>' as narrative
+          '<div xmlns="http://www.w3.org/1999/xhtml">' || {sql_pick(tuple(codes.SPECIALTIES.values()), '"PracticeCode"')}
+            || ' post at ' || "GPPracticeName" || '</div>' as narrative
         from practices""",
     ),
 )
@@ -409,7 +408,7 @@ _BAD_PARTICIPANT = codes.PARTICIPANT_STATUSES + ("perhaps",)
 
 def _faultypatients(spark, sf_dir):
     base = F.lit("2024-06-30").cast("date")
-    return _patients(
+    return patients(
         spark,
         sf_dir,
         gender=d.pick(_BAD_GENDERS, F.col("c_custkey")),
@@ -480,7 +479,7 @@ def rejected_resources(spark, sf_dir):
     ),
 )
 def reject_reasons(spark, sf_dir):
-    docs = _appointments(
+    docs = appointments(
         spark,
         sf_dir,
         status=d.pick(_BAD_STATUSES, F.col("o_orderkey")),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardflow.documents import build
+from wardflow.documents import build, specs
 from wardflow.documents.rules import FAIL, NONE, RULES, validate, write_checked
 from wardflow.operators.merge import empty_like
 from wardflow.plans import jobs, reports
@@ -22,6 +22,7 @@ from wardflow.sinks.files import (
     write_resources,
 )
 from wardflow.sources.files import read_csv_dir, read_parquet_dir
+from wardflow.streaming.ingest import document_stream, load_resource_stream
 from wardflow.streaming.upsert import ProcessedTable
 
 
@@ -306,3 +307,58 @@ def feedback_quarantine(spark, sf_dir):
     rows.write.option("header", True).csv(source)
     jobs.process_feedback(spark, source, scratch_path(spark, "feedback"), quarantine)
     return read_quarantine(spark, quarantine, QUARANTINE).select("feedback_id", "overall_score", "dataset")
+
+
+@query(
+    "missing_required_fields",
+    with_tables(
+        "register",
+        body=f"""
+        , {copies_sql("orders", "o_orderkey")}
+        select 'A' || format('{{:05d}}', counter) as id, 'status required' as errors
+        from copies where o_orderstatus = 'P'""",
+    ),
+)
+def missing_required_fields(spark, sf_dir):
+    status = F.when(F.col("o_orderstatus") != "P", "booked")
+    _, rejected = validate(appointments(spark, sf_dir, status=status), RULES["Appointment"])
+    return rejected.select("id", F.array_join("errors", "; ").alias("errors"))
+
+
+def _array_lines(spark, sf_dir) -> str:
+    """Each customer as a line with an array of one document; those in debt break off in the middle."""
+    whole = F.concat(F.lit('[{"resourceType": "Patient", "id": "C'), F.col("c_custkey"), F.lit('"}]'))
+    customers = d.table(spark, sf_dir, "customer")
+    line = F.when(F.col("c_acctbal") < 0, F.substring(whole, F.lit(1), F.length(whole) - 2)).otherwise(whole)
+    store = scratch_path(spark, "arrays")
+    customers.select(line.alias("value")).write.text(f"{store}/Patient")
+    return store
+
+
+_ARRAYS_SQL = """
+    select 'C' || c_custkey as id, case when c_acctbal < 0 then 'rejected' else 'loaded' end as outcome
+    from customer"""
+
+
+def _array_outcomes(loaded, rejected):
+    broken = F.regexp_extract("raw_data", "(C[0-9]+)", 1).alias("id")
+    return loaded.select("id", F.lit("loaded").alias("outcome")).unionByName(
+        rejected.select(broken, F.lit("rejected").alias("outcome"))
+    )
+
+
+@query("rejected_arrays", _ARRAYS_SQL)
+def rejected_arrays(spark, sf_dir):
+    rejects = scratch_path(spark, "array-rejects")
+    loaded = jobs.load_good_resources(spark, _array_lines(spark, sf_dir), "Patient", rejects)
+    return _array_outcomes(loaded, spark.read.parquet(rejects))
+
+
+@query("rejected_arrays_stream", _ARRAYS_SQL)
+def rejected_arrays_stream(spark, sf_dir):
+    path, rejects = scratch_path(spark, "array-rows"), scratch_path(spark, "array-rejects")
+    docs = document_stream(spark, f"{_array_lines(spark, sf_dir)}/Patient")
+    load_resource_stream(
+        docs, specs.PATIENT, path, scratch_path(spark, "array-progress"), rejects
+    ).awaitTermination()
+    return _array_outcomes(spark.read.parquet(path), spark.read.parquet(rejects))
