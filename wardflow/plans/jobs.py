@@ -19,7 +19,14 @@ from wardflow.operators.quality import CLEAN, MISSING, cast_or_reject, write_par
 from wardflow.schemas import CALLS, FEEDBACK, FEEDBACK_SCORES, FEEDBACK_TABLE
 from wardflow.session import discard, folder_exists, scratch_path
 from wardflow.sinks.files import append_if_any, put_documents
-from wardflow.sources.files import match_columns, read_csv_dir, read_parquet_dir, read_resource
+from wardflow.sources.files import (
+    match_columns,
+    read_csv_dir,
+    read_parquet_dir,
+    read_resource,
+    unreadable_files,
+)
+from wardflow.streaming.audit import note_unreadable
 from wardflow.streaming.upsert import ProcessedTable
 
 
@@ -57,9 +64,13 @@ def _process(
     return Outcome(counts[CLEAN], counts[MISSING])
 
 
-def load_calls(spark: SparkSession, clean: str) -> DataFrame:
-    """Complete calls as rows of the call table."""
-    return read_parquet_dir(spark, clean, CALLS, skip_corrupt=True)
+def load_calls(spark: SparkSession, clean: str, audit: str | None = None) -> DataFrame:
+    """Complete calls as rows of the call table; files that cannot be read are skipped and, with ``audit``,
+    noted there."""
+    rows = read_parquet_dir(spark, clean, CALLS, skip_corrupt=True)
+    if audit:
+        note_unreadable(unreadable_files(spark, clean, rows), audit, "calls")
+    return rows
 
 
 def load_feedback(spark: SparkSession, clean: str) -> DataFrame:

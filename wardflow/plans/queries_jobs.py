@@ -21,7 +21,8 @@ from wardflow.sinks.files import (
     truncate,
     write_resources,
 )
-from wardflow.sources.files import read_csv_dir, read_parquet_dir
+from wardflow.sources.files import read_csv_dir, read_parquet_dir, unreadable_files
+from wardflow.streaming.audit import load_audit, note_unreadable
 from wardflow.streaming.ingest import document_stream, load_resource_stream
 from wardflow.streaming.upsert import ProcessedTable
 
@@ -362,3 +363,21 @@ def rejected_arrays_stream(spark, sf_dir):
         docs, specs.PATIENT, path, scratch_path(spark, "array-progress"), rejects
     ).awaitTermination()
     return _array_outcomes(spark.read.parquet(path), spark.read.parquet(rejects))
+
+
+@query(
+    "corrupt_files_noted",
+    """
+    select 'orders-unreadable' as table_name, cast(1 as bigint) as reject_count,
+      (select count(*) from orders) as loaded""",
+)
+def corrupt_files_noted(spark, sf_dir):
+    """A folder with a file that is not Parquet: the others are loaded, and it is noted."""
+    path, audit = scratch_path(spark, "partly-broken"), scratch_path(spark, "audit")
+    orders = d.table(spark, sf_dir, "orders").select("o_orderkey")
+    orders.write.parquet(path)
+    orders.limit(1).select(F.lit("broken").alias("value")).write.mode("append").text(path)
+    rows = read_parquet_dir(spark, path, orders.schema, glob="part-*", skip_corrupt=True)
+    note_unreadable(unreadable_files(spark, path, rows, glob="part-*"), audit, "orders")
+    loaded = rows.agg(F.count("*")).scalar()
+    return load_audit(spark, audit).select("table_name", "reject_count", loaded.alias("loaded"))

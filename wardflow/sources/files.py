@@ -51,6 +51,27 @@ def read_parquet_dir(
     return found if schema is None or file_schema is None else match_columns(found, schema)
 
 
+def unreadable_files(spark: SparkSession, path: str, rows: DataFrame, glob: str = "*.parquet") -> DataFrame:
+    """``file_name`` of the files below ``path`` that are no Parquet files and gave ``rows`` nothing.
+
+    For loads that skip what they cannot read (``skip_corrupt``). Files are listed, and only those
+    without a row in ``rows`` are opened, to look for the format's marks at both ends; as many names
+    as there are such files come to the driver.
+    """
+
+    def files(paths):
+        listed = spark.read.format("binaryFile").option("pathGlobFilter", glob)
+        return listed.option("recursiveFileLookup", True).load(paths)
+
+    read = rows.select(F.col("_metadata.file_path").alias("path")).distinct()
+    silent = [r.path for r in files(path).select("path").join(read, "path", "left_anti").collect()]
+    if not silent:
+        return files(path).select(F.col("path").alias("file_name")).limit(0)
+    start, end = F.substring("content", 1, 4), F.expr("right(content, 4)")
+    mark = F.lit("PAR1").cast("binary")
+    return files(silent).filter((start != mark) | (end != mark)).select(F.col("path").alias("file_name"))
+
+
 def match_columns(df: DataFrame, schema: T.StructType, cast: bool = True) -> DataFrame:
     """The columns of ``schema``, taken from ``df`` by name without regard to case.
 

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wardflow.functions.times import hours_ago
 
-AUDIT = "table_name string, batch_id long, file_name string, row_count long, reject_count long, loaded_at timestamp"
+NOTES = ["table_name", "batch_id", "file_name", "row_count", "reject_count", "loaded_at"]
+AUDIT = (
+    "table_name string, load_date date, batch_id long, file_name string, row_count long, reject_count long, "
+    "loaded_at timestamp"
+)
 
 
 def count_by_file(batch: DataFrame, rejected: str, file_col: str = "file_name") -> DataFrame:
@@ -18,19 +25,37 @@ def count_by_file(batch: DataFrame, rejected: str, file_col: str = "file_name")
 
 
 def record_load(counts: DataFrame, path: str, table: str, batch_id: int) -> None:
-    """Note the counts of one micro-batch; a replayed batch replaces its own note."""
+    """Note the counts of one micro-batch below its table and the day (UTC) it was loaded.
+
+    A batch that is replayed on the same day replaces its own note.
+    """
+    today = datetime.now(timezone.utc).date().isoformat()
     counts.select(
-        F.lit(table).alias("table_name"),
-        F.lit(batch_id).cast("long").alias("batch_id"),
         F.col("file_name"),
         F.col("row_count"),
         F.col("reject_count"),
         F.current_timestamp().alias("loaded_at"),
-    ).write.mode("overwrite").parquet(f"{path}/{table}/{batch_id}")
+    ).write.mode("overwrite").parquet(f"{path}/table_name={table}/load_date={today}/batch_id={batch_id}")
 
 
 def load_audit(spark: SparkSession, path: str, table: str | None = None, hours: int = 24) -> DataFrame:
-    """Loads of the last ``hours``, of one table or of all."""
-    noted = spark.read.schema(AUDIT).option("recursiveFileLookup", True).parquet(path)
-    recent = noted.filter(F.col("loaded_at") >= hours_ago(hours))
-    return recent if table is None else recent.filter(F.col("table_name") == table)
+    """Loads of the last ``hours``, of one table or of all; only the folders of those days are read.
+
+    A batch noted on two days counts once, with its last note.
+    """
+    since = hours_ago(hours)
+    noted = spark.read.schema(AUDIT).parquet(path).filter(F.col("load_date") >= since.cast("date"))
+    recent = noted.filter(F.col("loaded_at") >= since)
+    if table is not None:
+        recent = recent.filter(F.col("table_name") == table)
+    last = F.max("load_date").over(W.partitionBy("table_name", "batch_id"))
+    kept = recent.withColumn("_last", last).filter(F.col("load_date") == F.col("_last"))
+    return kept.select(*NOTES)
+
+
+def note_unreadable(files: DataFrame, path: str, table: str, batch_id: int = 0) -> None:
+    """Note files (``file_name``) that could not be read, each as one reject."""
+    counts = files.select(
+        "file_name", F.lit(0).cast("long").alias("row_count"), F.lit(1).cast("long").alias("reject_count")
+    )
+    record_load(counts, path, f"{table}-unreadable", batch_id)
