@@ -34,6 +34,7 @@ def load() -> None:
         queries_changes,
         queries_documents,
         queries_jobs,
+        queries_processed,
         queries_reports,
         queries_rows,
         queries_streams,

@@ -40,15 +40,18 @@ def _end():
     return F.date_add(F.lit("2024-06-30").cast("date"), (_code() % 500).cast("int"))
 
 
-def _practice_inputs():
+def practice_inputs(dates: bool = True):
     """Names and dates that differ from practice to practice."""
-    return {
+    names = {
         "family": F.concat(F.lit("Family"), _code()),
         "given": F.concat(F.lit("Given"), _code() % 7),
         "phone": F.lit("0000"),
-        "start": _start(),
-        "end": _end(),
     }
+    return {**names, "start": _start(), "end": _end()} if dates else names
+
+
+def endpoint_inputs():
+    return {**practice_inputs(), "status": d.pick(codes.ENDPOINT_STATUSES, _code())}
 
 
 _START_SQL = "date '2020-01-01' + cast(\"PracticeCode\" % 1000 as integer)"
@@ -86,7 +89,7 @@ def _full_address_sql(lines: str) -> str:
     ),
 )
 def flatten_organization(spark, sf_dir):
-    docs = build.build_organization(d.practices(spark, sf_dir), _practice_inputs())
+    docs = build.build_organization(d.practices(spark, sf_dir), practice_inputs())
     return _flat(docs, specs.ORGANIZATION)
 
 
@@ -103,16 +106,15 @@ def flatten_organization(spark, sf_dir):
     ),
 )
 def flatten_endpoint(spark, sf_dir):
-    status = d.pick(codes.ENDPOINT_STATUSES, _code())
-    docs = build.build_endpoint(d.practices(spark, sf_dir), {**_practice_inputs(), "status": status})
+    docs = build.build_endpoint(d.practices(spark, sf_dir), endpoint_inputs())
     return _flat(docs, specs.ENDPOINT)
 
 
 _DEGREES = tuple(codes.QUALIFICATIONS)
 
-def _practitioner_inputs():
+def practitioner_inputs():
     return {
-        **_practice_inputs(),
+        **practice_inputs(),
         "active": _code() % 2 == 0,
         "prefix": F.lit("Dr."),
         "suffix": F.lit("MD"),
@@ -144,7 +146,7 @@ def _practitioner_inputs():
     ),
 )
 def flatten_practitioner(spark, sf_dir):
-    docs = build.build_practitioner(d.practices(spark, sf_dir), _practitioner_inputs())
+    docs = build.build_practitioner(d.practices(spark, sf_dir), practitioner_inputs())
     return _flat(docs, specs.PRACTITIONER)
 
 
@@ -356,7 +358,7 @@ def _condition_inputs():
     }
 
 
-def _conditions(spark, sf_dir, **planted):
+def conditions(spark, sf_dir, **planted):
     rows = copies(spark, sf_dir, "events", "event_id")
     return build.build_condition(rows, {**_condition_inputs(), **planted})
 
@@ -384,7 +386,7 @@ def _conditions(spark, sf_dir, **planted):
     ),
 )
 def flatten_condition(spark, sf_dir):
-    docs = _conditions(spark, sf_dir)
+    docs = conditions(spark, sf_dir)
     rows = flatten(docs, specs.CONDITION, body=BODY)
     rows = rows.withColumns(
         {
