@@ -2,13 +2,15 @@
 
 1. Every text gets its shingle set's size and its sketch: the ``SKETCH`` smallest shingle hashes.
    Texts with the same words are one class; classes are compared, not copies.
-2. Inverted lists: the classes that retain a hash value. A pair that is similar enough shares at least
-   half of its retained values, so it also shares one of the rarest half (plus one) of either; only
-   those lists are used, and values of one class only never leave the count.
-3. A list offers its first class as partner to all others; once those are linked, lists whose classes
-   are all in one component are done, and the others offer further partners until no pair of
-   different components is left. So a list of n near copies costs n pairs, not their square.
-4. Offered pairs are kept when sizes fit and the estimate from the union of both sketches is within
+2. Inverted lists of retained values. A similar pair shares a good part of its retained values, so it
+   also shares one of the rarest rest of either; values of one class only never leave the count.
+3. Lists longer than ``LONG_LIST`` are not used. A pair found in no shorter one shares long lists only:
+   both are classes of mostly common text, and there are few of those. They are compared by inverted
+   lists of their full shingle sets, which bound exactly how much a class can share and with what sizes.
+4. A list offers its most central class to all others. Once those are linked, only classes outside the
+   list's largest component are offered, to classes of sizes they can be similar to and by no more
+   values than that pair of sizes asks for, so that a list of n near copies costs about n pairs.
+5. Offered pairs are kept when sizes fit and the estimate from the union of both sketches is within
    reach of the threshold, then decided by the exact Jaccard similarity of the full shingle sets.
 """
 
@@ -36,8 +38,16 @@ SURELY_SHARED = 0.4
 #: Pairs estimated below this share (five deviations under 80 %) are not verified.
 REACH = 0.55
 PERCENT = 80
-#: All remaining pairs are offered at once when they are at most so many times the list entries.
-AT_ONCE = 8
+#: Inverted lists up to this length are read as they are.
+LONG_LIST = 64
+#: Rounds in which lists offer one class before all pairs left are compared; fewer if those are at most
+#: so many times the list entries.
+ROUNDS = 3
+AT_ONCE = 40
+#: Lists of a class, its longest ones, that offer it their central class at first.
+LEADING = 4
+#: Sizes of one bucket differ by this factor at most.
+BUCKET = 1.02
 
 
 def shingle_sets(texts: pa.Array, words: int) -> Iterator[tuple[np.ndarray, np.uint64]]:
@@ -107,28 +117,77 @@ def sketches(docs: DataFrame, words: int, text_col: str = "text", keep: list[str
     return map_texts(docs, text_col, "cls string, n_shingles bigint, sketch array<bigint>", compute, keep)
 
 
-def _entries(classes: DataFrame) -> DataFrame:
-    """``value, node, pivot``: entries of the inverted lists that can show a similar pair.
+def _sketch_entries(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Entries of the inverted lists of retained values, and the classes of mostly common text.
 
-    ``pivot`` is the first class that retains the value.
+    Entries: ``value, node, n, reach, alone, after, leading``; a similar class has at most ``reach``
+    shingles, ``alone`` is the share of the class that no other has, and of its shared shingles ``after``
+    come from this one on in the order of lists, where that is known.
     """
     listed = F.slice("sketch", 1, LISTED)
-    held = classes.select("node", F.size(listed).alias("k"), F.explode(listed).alias("value"))
-    lists = (
-        held.groupBy("value")
-        .agg(F.count("*").alias("df"), F.min("node").alias("pivot"))
-        .filter("df > 1")
-    )
+    held = classes.select("node", "n_shingles", F.size(listed).alias("k"), F.explode(listed).alias("value"))
+    lists = held.groupBy("value").agg(F.count("*").alias("df")).filter("df > 1")
     mine = (
         held.join(lists, "value")
-        .groupBy("node", "k")
-        .agg(F.sort_array(F.collect_list(F.struct("df", "value", "pivot"))).alias("shared"))
+        .groupBy("node", "n_shingles", "k")
+        .agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("shared"))
     )
+    mine = materialize(mine, "near-shared")
     # Values of this class alone are the rarest of its prefix; list lengths say what fills the rest.
-    prefix = F.col("k") - F.ceil(F.col("k") * SURELY_SHARED) + 1
-    room = (prefix - (F.col("k") - F.size("shared"))).cast("int")
-    kept = mine.filter(room > 0).select("node", F.explode(F.slice("shared", F.lit(1), room)).alias("e"))
-    return kept.select("e.value", "node", "e.pivot")
+    surely = F.ceil(F.col("k") * SURELY_SHARED)
+    room = (F.size("shared") - surely + 1).cast("int")
+    alone = (1 - F.size("shared") / F.col("k")).alias("alone")
+    first = F.filter(F.slice("shared", F.lit(1), room), lambda e: e["df"] <= LONG_LIST)
+    listed = mine.filter(room > 0).select("node", F.col("n_shingles").alias("n"), alone, first.alias("first"))
+    entries = listed.select("*", F.posexplode("first").alias("at", "e")).select(
+        "e.value",
+        "node",
+        "n",
+        (F.col("n") * 100 / percent).alias("reach"),
+        "alone",
+        F.lit(None).cast("bigint").alias("after"),
+        (F.size("first") - F.col("at") <= LEADING).alias("leading"),
+    )
+    common = F.size(F.filter("shared", lambda e: e["df"] > LONG_LIST))
+    return entries, mine.filter(common >= surely).select("node")
+
+
+def _full_entries(texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """The same from the full shingle sets of classes of mostly common text.
+
+    Of n shingles m are shared with any of these classes, so a similar one has no more than
+    ``m (100 + percent) / percent - n`` shingles, and must have ``percent`` of n. Classes that nothing
+    can be similar to are dropped, and of the others' shingles the common ones that the prefix filter
+    does not need.
+    """
+    bounded_batches(texts.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, column in slices(batch, "text"):
+                sets = [found for found, _ in shingle_sets(column, words)]
+                sizes = np.array([len(found) for found in sets])
+                nodes = np.repeat(part.column("node").to_numpy(), sizes)
+                values = np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)
+                arrays = [pa.array(values), pa.array(nodes, pa.int64()), pa.array(np.repeat(sizes, sizes), pa.int64())]
+                yield pa.RecordBatch.from_arrays(arrays, names=["value", "node", "n"])
+
+    held = materialize(texts.select("node", "text").mapInArrow(run, "value bigint, node bigint, n bigint"), "near-full")
+    lists = held.groupBy("value").agg(F.count("*").alias("df")).filter("df > 1")
+    shared = held.join(lists, "value")
+    order = W.partitionBy("node").orderBy("df", "value")
+    ranked = shared.withColumn("rank", F.row_number().over(order)).withColumn(
+        "m", F.count("*").over(W.partitionBy("node"))
+    )
+    n, m = F.col("n"), F.col("m")
+    reach = F.least(m * (100 + percent) / percent - n, n * 100 / percent)
+    after = m - F.col("rank") + 1
+    needed = F.ceil(n * percent / 100)
+    kept = ranked.withColumn("reach", reach).filter((F.col("reach") * 100 >= n * percent) & (after >= needed))
+    return kept.select(
+        "value", "node", "n", "reach", (1 - m / n).alias("alone"), after.cast("bigint").alias("after"),
+        (after - needed < LEADING).alias("leading"),
+    )
 
 
 def _similar_enough(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -164,70 +223,98 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
 
 def links(classes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """Links ``a, b`` between classes, enough to connect every similar pair: they leave no pair that
-    shares a list undecided and in different components.
+    shares a list and can be similar undecided and in different components.
 
     ``classes``: node, n_shingles, sketch and ``first`` (doc_id, print), which finds their text in
     ``docs`` (doc_id, print, text).
     """
-    entries = materialize(_entries(classes), "near-entries")
-    size = entries.count()
-    wanted = entries.select("node").unionByName(entries.select(F.col("pivot").alias("node"))).distinct()
+    entries, common = _sketch_entries(classes, percent)
+    entries = materialize(entries, "near-entries")
+    wanted = entries.select("node").unionByName(common).distinct()
     places = classes.join(wanted, "node", "left_semi").select(
         "node", F.col("first.doc_id").alias("place"), F.col("first.print").alias("print")
     )
     texts = docs.join(places, (docs["print"] == places["print"]) & docs["doc_id"].eqNullSafe(places["place"]))
     texts = materialize(texts.select("node", "text"), "near-texts")
+    full = _full_entries(texts.join(common, "node", "left_semi"), words, percent)
+    # A value listed in both ways is two lists.
+    entries = entries.withColumn("value", F.xxhash64("value")).unionByName(full)
+    entries = materialize(entries, "near-entries")
+    size = entries.count()
 
-    offered = entries.filter("node <> pivot").select(
-        F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b")
-    )
-    offered, tested, found, reach, last = offered.distinct(), None, None, 1, False
-    while True:
-        offered = materialize(_similar_enough(offered, classes, percent), "near-offered")
-        new = materialize(_verified(offered, texts, words, percent), "near-links")
-        found = new if found is None else found.unionByName(new)
+    def decide(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        near = materialize(_similar_enough(pairs, classes, percent), "near-offered")
+        return near, materialize(_verified(near, texts, words, percent), "near-links")
+
+    tested, found = decide(_offered_by_one(entries, entries))
+    for left in reversed(range(ROUNDS)):
+        outside, named = _outside(entries, connected(found))
+        offers, count = _fitting(outside, named, percent)
+        if count == 0:
+            break
+        last = left == 0 or count <= AT_ONCE * max(size, 1000)
+        pairs = _unordered(offers) if last else _offered_by_one(outside, entries)
+        near, new = decide(pairs.join(tested, ["a", "b"], "left_anti"))
+        tested, found = tested.unionByName(near), found.unionByName(new)
         if last:
-            return found
-        tested = offered if tested is None else tested.unionByName(offered)
-        labels = connected(found).select(F.col("node").alias("known"), "label")
-        named = entries.join(labels, F.col("node") == F.col("known"), "left")
-        named = named.select("value", "node", F.coalesce("label", "node").alias("label"))
-        several = named.groupBy("value").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-        several = several.filter("lo <> hi").select("value")
-        still = materialize(named.join(several, "value", "left_semi"), "near-open")
-        by_label = still.groupBy("value", "label").agg(F.count("*").alias("n"))
-        left, longest = _pairs_left(by_label)
-        if not left:
-            return found
-        last = left <= AT_ONCE * max(size, 1000) or longest <= 4 * reach
-        pairs = _next_pairs(still, by_label, None if last else 4 * reach)
-        reach *= 4
-        offered = pairs.join(tested, ["a", "b"], "left_anti")
-
-
-def _pairs_left(by_label: DataFrame) -> tuple[int, int]:
-    """How many pairs of entries of one list are in different components, and the longest list."""
-    n, own = F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own")
-    lists = by_label.groupBy("value").agg(n, own)
-    pairs = F.sum((F.col("n") * F.col("n") - F.col("own")) / 2).alias("pairs")
-    found = lists.agg(pairs, F.max("n").alias("longest")).first()
-    return int(found["pairs"] or 0), int(found["longest"] or 0)
-
-
-def _next_pairs(entries: DataFrame, by_label: DataFrame, partners: int | None) -> DataFrame:
-    """Pairs of different components that share a list: all, or those of the first ``partners`` entries
-    of each list, entries of its smallest components first."""
-    offering = entries
-    if partners is not None:
-        rank = W.partitionBy("value").orderBy("n", "node")
-        ranked = entries.join(by_label, ["value", "label"]).withColumn("rank", F.row_number().over(rank))
-        offering = ranked.filter(F.col("rank") <= partners)
-    one = offering.select("value", F.col("node").alias("x"), F.col("label").alias("x_label"))
-    other = entries.select("value", F.col("node").alias("y"), F.col("label").alias("y_label"))
-    pairs = one.join(other, "value").filter("x_label <> y_label")
+            break
+    return found
+
+
+def _unordered(pairs: DataFrame) -> DataFrame:
+    """Pairs ``x, y`` as ``a < b``, each once."""
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
+def _offered_by_one(some: DataFrame, entries: DataFrame) -> DataFrame:
+    """The most central class of each list in ``some`` with every other class of the list."""
+    best = some.groupBy("value").agg(F.min(F.struct("alone", "node")).alias("best"))
+    pairs = entries.filter("leading").join(best, "value").select(F.col("node").alias("x"), F.col("best.node").alias("y"))
+    return _unordered(pairs.filter("x <> y"))
+
+
+def _outside(entries: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Entries outside the largest component of their list, and all entries of those lists with labels."""
+    labels = labels.select(F.col("node").alias("known"), "label")
+    named = entries.join(labels, F.col("node") == F.col("known"), "left")
+    named = named.withColumn("label", F.coalesce("label", "node")).drop("known")
+    parts = named.groupBy("value", "label").agg(F.count("*").alias("held"))
+    largest = parts.groupBy("value").agg(
+        F.max(F.struct("held", "label")).alias("most"), F.count("*").alias("parts")
+    )
+    largest = largest.filter("parts > 1").select("value", F.col("most.label").alias("main"))
+    named = materialize(named.join(largest, "value"), "near-open")
+    return named.filter("label <> main"), named
+
+
+def _fitting(outside: DataFrame, named: DataFrame, percent: int) -> tuple[DataFrame, int]:
+    """Pairs ``x, y`` of entries outside and entries of their list in another component and of sizes that
+    both can be similar to; and how many are compared for that, from counts per size bucket."""
+
+    def bucket(size):
+        return F.floor(F.log(F.greatest(size, F.lit(1.0))) / F.log(F.lit(BUCKET))).cast("int")
+
+    low, high = bucket(F.col("n") * (percent / 100)), bucket(F.col("reach"))
+    x = outside.filter(high >= low).select(
+        "value", F.col("node").alias("x"), F.col("n").alias("x_n"), F.col("reach").alias("x_reach"),
+        F.col("label").alias("x_label"), F.col("after").alias("x_after"),
+        F.explode(F.sequence(low, high)).alias("bucket"),
+    )
+    y = named.select(
+        "value", F.col("node").alias("y"), F.col("n").alias("y_n"), F.col("reach").alias("y_reach"),
+        F.col("label").alias("y_label"), F.col("after").alias("y_after"), bucket(F.col("n")).alias("bucket"),
+    )
+    key = ["value", "bucket"]
+    sizes = x.groupBy(key).agg(F.count("*").alias("n_x")).join(y.groupBy(key).agg(F.count("*").alias("n_y")), key)
+    count = sizes.agg(F.sum(F.col("n_x") * F.col("n_y")).alias("pairs")).first()["pairs"] or 0
+    within = (F.col("y_n") <= F.col("x_reach") + 1e-9) & (F.col("x_n") <= F.col("y_reach") + 1e-9)
+    fits = within & (F.col("x_label") != F.col("y_label"))
+    # If this is the first value that both hold, all they share comes from here on.
+    shared = F.ceil((F.col("x_n") + F.col("y_n")) * (percent / (100 + percent)) - 1e-9)
+    fits = fits & (F.coalesce(F.least("x_after", "y_after"), shared) >= shared)
+    return x.join(y, key).filter(fits).select("x", "y"), count
+
+
 def near_duplicates(
     docs: DataFrame,
     words: int = 5,
