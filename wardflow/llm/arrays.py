@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at once; a single longer text is handled alone.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 
 _RANDOM = np.random.default_rng(20240607)
 _BYTE_VALUES = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -165,7 +165,7 @@ def letter_kinds() -> tuple[np.ndarray, np.ndarray]:
     """By code point: 0 other, 1 letter, 2 number, 3 white space; and whether that is long settled.
 
     Settled code points had the same category in Unicode 3.2; of all others, different libraries may
-    think differently.
+    think differently. The planes with few or no characters are left unsettled as a whole.
     """
     import sys
     import unicodedata
@@ -173,7 +173,7 @@ def letter_kinds() -> tuple[np.ndarray, np.ndarray]:
     size = sys.maxunicode + 1
     kind, settled = np.zeros(size, np.uint8), np.zeros(size, bool)
     old, new = unicodedata.ucd_3_2_0.category, unicodedata.category
-    for code in range(size):
+    for code in range(0x30000):
         char = chr(code)
         now = new(char)
         settled[code] = now == old(char) and now != "Cn"
