@@ -185,7 +185,8 @@ def fertility_rules(
 
 def judged(measured: DataFrame, limits: DataFrame) -> DataFrame:
     limits = limits.withColumnRenamed("band_group", "limit_group")
-    both = measured.join(limits, F.col("band_group") == F.col("limit_group"), "left")
+    # One row per language or script, however many documents there are.
+    both = measured.join(F.broadcast(limits), F.col("band_group") == F.col("limit_group"), "left")
     outside = []
     for name, room in ROOM.items():
         low, mid, high = (F.col(f"{name}_band")[k] for k in range(3))
