@@ -49,6 +49,8 @@ def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Token ids, and the digest of what they decode to."""
     vocabulary = bpe.Vocabulary.read(public_tokenizers.path("word_bpe_49k.json"))
     encoded = bpe.encode(docs.select("doc_id", "text"), vocabulary).select("doc_id", "ids")
+    # Written first, so that a task has one Python worker at a time.
+    encoded = materialize(encoded, "stage-ids")
     return bpe.decode(encoded, vocabulary).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

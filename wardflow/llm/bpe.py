@@ -30,8 +30,9 @@ from wardflow.llm.presplit import PieceCoder, Pieces
 
 WORD_END = "</w>"
 ENDLESS = 1 << 30
-#: Table cells a worker remembers before it starts over.
-CELLS = 2_000_000
+#: Table cells and pieces a worker remembers before it starts over.
+CELLS = 300_000
+PIECES = 150_000
 
 
 @dataclass(frozen=True)
@@ -161,7 +162,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.automaton = Automaton(vocabulary)
-        self.coder = PieceCoder(self._encode_pieces)
+        self.coder = PieceCoder(self._encode_pieces, PIECES)
         self.specials = vocabulary.specials
         names = sorted(map(re.escape, self.specials), key=len, reverse=True)
         self.special_pattern = re.compile("|".join(names)) if names else None
