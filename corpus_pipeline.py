@@ -25,8 +25,8 @@ def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents less the passages that came before; those of which nothing is left go."""
-    found = line_chunks.dedup_lines(docs)
-    emptied = (F.col("n_removed_chunks") > 0) & ~F.col("text").rlike(r"\S")
+    found = line_chunks.dedup_passages(docs)
+    emptied = (F.col("n_removed_lines") > 0) & ~F.col("text").rlike(r"\S")
     left = found.filter(~F.coalesce(emptied, F.lit(False)))
     return left.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 

@@ -18,6 +18,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_fertility": queries_quality.op4_fertility,
         "op5_bottom_k": queries_near.op5_bottom_k,
         "op6_line_chunks": queries_native.op6_line_chunks,
+        "op6_line_passages": queries_native.op6_line_passages,
         "op7_nearest_centroid": queries_quality.op7_nearest_centroid,
         "op8_ownership": queries_native.op8_ownership,
         "op9_set_similarity": queries_native.op9_set_similarity,

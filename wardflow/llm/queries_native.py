@@ -26,6 +26,16 @@ def op6_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_line_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_chunks.dedup_passages(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        "n_removed_lines",
+        F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("kept_bytes"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
 def op8_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(documents(spark, sf_dir))
 
