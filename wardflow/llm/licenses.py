@@ -5,6 +5,9 @@ least ``PERCENT`` of them. Words are ordered by their frequency in the corpus, r
 that meets a template of n words must hold one of its n - least + 1 rarest words (prefix filter), must
 have enough template words at all (length filter), and enough of them from the shared word on
 (positional filter); what is left is counted exactly. Fixed phrases are reported wherever they stand.
+
+Notices are often wrapped, so windows over a document's words, across its lines, are blocks too. Only
+documents that hold enough words of a template at all are searched for them.
 """
 
 from __future__ import annotations
@@ -61,8 +64,47 @@ def _places(words: Column, phrase: Sequence[str]) -> Column:
     return F.filter(F.transform(words, stands), lambda i: i.isNotNull())
 
 
-def read_blocks(docs: DataFrame, templates: Sequence[tuple[str, str]], id_col: str, text_col: str) -> DataFrame:
-    """Per document its number of words, the places of phrases, and per line the template words in it."""
+def _wrapped(words: Column, held: Column, templates: Sequence[tuple[str, str]], percent: int) -> Column:
+    """``label`` and ``share`` of the templates that windows of ``words`` meet; ``held``: the distinct template words.
+
+    A window is longer than its notice by as much as the notice may lack.
+    """
+
+    def met(label: str, notice: str) -> Column:
+        wanted = sorted(set(notice.split()))
+        least, width = ceil(percent * len(wanted) / 100), ceil(100 * len(notice.split()) / percent)
+        known = F.array(*[F.lit(w) for w in wanted])
+        spots = F.filter(
+            F.transform(words, lambda w, i: F.struct(i.alias("at"), w.alias("word"))),
+            lambda spot: F.array_contains(known, spot["word"]),
+        )
+
+        def best(spots: Column) -> Column:
+            def common(spot: Column, k: Column) -> Column:
+                # The window from here holds enough template words, before it is looked at which.
+                enough = F.get(spots, k + least - 1)["at"] - spot["at"] < width
+                near = F.filter(F.slice(spots, k + 1, width), lambda s: s["at"] - spot["at"] < width)
+                return F.when(enough, F.size(F.array_distinct(F.transform(near, lambda s: s["word"])))).otherwise(0)
+
+            return F.array_max(F.transform(spots, common))
+
+        # Held in a one-element array so that the places are found once.
+        most = F.transform(F.array(spots), best)
+        share = F.filter(most, lambda n: n >= least)
+        found = F.transform(share, lambda n: F.struct(F.lit(label).alias("label"), (n / len(wanted)).alias("share")))
+        none = F.array().cast("array<struct<label:string,share:double>>")
+        return F.when(F.size(F.array_intersect(held, known)) >= least, found).otherwise(none)
+
+    # A notice without words meets nothing.
+    each = [met(label, notice) for label, notice in templates if notice.split()]
+    return F.concat(*each) if each else F.array().cast("array<struct<label:string,share:double>>")
+
+
+def read_blocks(
+    docs: DataFrame, templates: Sequence[tuple[str, str]], id_col: str, text_col: str, percent: int = PERCENT
+) -> DataFrame:
+    """Per document its number of words, the places of phrases, per line the template words in it, and the
+    templates that windows across lines meet."""
     vocabulary = sorted({w for _, notice in templates for w in notice.split()})
     known = F.array(*[F.lit(w) for w in vocabulary])
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
@@ -77,12 +119,16 @@ def read_blocks(docs: DataFrame, templates: Sequence[tuple[str, str]], id_col: s
         "doc_id",
         F.aggregate("lines", F.lit(0).cast("long"), lambda n, words: n + F.size(words)).alias("n_words"),
         F.when(F.col("has_phrase"), F.flatten("lines")).alias("words"),
+        "lines",
         F.filter(
             F.transform("lines", lambda words: F.array_intersect(words, known)), lambda hits: F.size(hits) > 0
         ).alias("blocks"),
     )
     places = [F.coalesce(_places(F.col("words"), p), none).alias(label) for label, p in PHRASES.items()]
-    return counted.select("doc_id", "n_words", F.struct(*places).alias("places"), "blocks")
+    held = F.array_distinct(F.flatten("blocks"))
+    # Windows within one line hold no more than the line.
+    wrapped = F.when(F.size("blocks") > 1, _wrapped(F.flatten("lines"), held, templates, percent))
+    return counted.select("doc_id", "n_words", F.struct(*places).alias("places"), "blocks", wrapped.alias("wrapped"))
 
 
 def word_order(blocks: DataFrame) -> list[str]:
@@ -146,7 +192,7 @@ def scan(
     texts have no words. Texts are read once, whole; their template words are written and used from
     there. Repeated rows, and rows with one id or none, each get their own result.
     """
-    rows = read_blocks(docs, templates, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
+    rows = read_blocks(docs, templates, id_col, text_col, percent).withColumn("row", F.monotonically_increasing_id())
     rows = materialize(rows, "license-blocks")
     met = matches(rows.select("row", "blocks"), templates, percent)
     met = met.groupBy("row").agg(F.collect_set("label").alias("met"), F.max("share").alias("share"))
@@ -157,7 +203,9 @@ def scan(
         lambda label: label.isNotNull(),
     )
     none = F.array().cast("array<string>")
-    every = F.array_distinct(F.concat(labels, F.coalesce("met", none)))
+    across = F.coalesce(F.col("wrapped.label"), none)
+    every = F.array_distinct(F.concat(labels, F.coalesce("met", none), across))
+    share = F.greatest("share", F.array_max("wrapped.share"), F.lit(0.0))
     return both.select(
         "doc_id",
         "n_words",
@@ -166,12 +214,12 @@ def scan(
         F.array_max(all_places).cast("long").alias("last_word"),
         F.array_join(F.array_sort(labels), ",").alias("base_labels"),
         F.array_join(F.array_sort(every), ",").alias("labels"),
-        F.when(F.size(labels) > 0, 1.0).otherwise(F.coalesce("share", F.lit(0.0))).alias("score"),
+        F.when(F.size(labels) > 0, 1.0).otherwise(share).alias("score"),
     )
 
 
 def check_sql(templates: Sequence[tuple[str, str]] = TEMPLATES, percent: int = PERCENT, phrases: Mapping = PHRASES) -> str:
-    """The same from DuckDB, every line against every template."""
+    """The same from DuckDB, every line against every template; it knows no windows across lines."""
     word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
     rows = ", ".join(f"('{label}', {sorted(set(notice.split()))})" for label, notice in templates)
     parts = []
