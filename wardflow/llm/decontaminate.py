@@ -117,25 +117,31 @@ def find(
     item_col: str = "item_id",
     item_text_col: str = "text",
 ) -> DataFrame:
-    """``docs`` with ``n_words``, ``n_hit``, ``items`` (sorted ids of items with windows that occur) and
-    ``hit_places`` (places of hit words); columns of these names are replaced.
+    """``docs`` with ``n_words``, ``n_hit``, ``items`` (sorted ids of items with windows that occur),
+    ``hit_places`` (places of hit words) and ``near_items`` (sorted ids of proximity matches, whether their
+    windows occur or not); columns of these names are replaced.
 
     Windows are ``WINDOW`` words, of shorter items all their words. Null and empty texts have no words
     and hit nothing; items without words or, of equal rows, all but one are left out; an item id may be
     null. Rows that repeat id and text each get the same result. Whole texts are read three times:
     for frequencies, for postings and for the comparison.
     """
-    new = ("n_words", "n_hit", "items", "hit_places")
+    new = ("n_words", "n_hit", "items", "hit_places", "near_items")
     own = [c for c in docs.columns if c not in new]
     rows = docs.select(*[F.col(f"`{c}`") for c in own])
     items = materialize(read_items(benchmark, item_col, item_text_col), "benchmark-items")
     chosen = materialize(anchors(items, frequencies(rows, items, text_col)), "benchmark-anchors")
     index = materialize(postings(rows, chosen, id_col, text_col), "postings")
-    found = _agreeing(alignments(index, chosen), items)
-    per_text = found.groupBy("doc_id", "print").agg(
-        F.collect_list(F.struct("item_id", "begin", "words", "win")).alias("found")
+    aligned = alignments(index, chosen)
+    exact = F.struct("item_id", "begin", "words", "win").alias("exact")
+    found = _agreeing(aligned, items).select("doc_id", "print", exact)
+    # Named as in ``items``; an item without an id has no name.
+    near = proximity_matches(aligned).select("doc_id", "print", F.col("item_id").cast("string").alias("near"))
+    both_kinds = found.unionByName(near, allowMissingColumns=True)
+    per_text = both_kinds.groupBy("doc_id", "print").agg(
+        F.collect_list("exact").alias("found"), F.collect_set("near").alias("_near")
     )
-    per_text = per_text.select(F.col("doc_id").alias("f_id"), F.col("print").alias("f_print"), "found")
+    per_text = per_text.select(F.col("doc_id").alias("f_id"), F.col("print").alias("f_print"), "found", "_near")
     text = F.col(f"`{text_col}`")
     keyed = rows.withColumn("_print", F.xxhash64(text))
     both = keyed.join(
@@ -143,10 +149,10 @@ def find(
         F.col(f"`{id_col}`").eqNullSafe(F.col("f_id")) & (F.col("_print") == F.col("f_print")),
         "left",
     )
-    open_words = F.when(F.col("found").isNotNull(), exact_words(text)).otherwise(search_words(text))
-    worded = both.select(*own, "found", open_words.alias("_words"))
+    open_words = F.when(F.size("found") > 0, exact_words(text)).otherwise(search_words(text))
+    worded = both.select(*own, "found", "_near", open_words.alias("_words"))
     checked = F.transform("found", lambda f: _occurrences(f, F.col("_words")))
-    judged = worded.select(*own, "_words", F.filter(checked, lambda c: F.size(c["places"]) > 0).alias("_hits"))
+    judged = worded.select(*own, "_near", "_words", F.filter(checked, lambda c: F.size(c["places"]) > 0).alias("_hits"))
     places = F.array_sort(F.array_distinct(F.flatten(F.transform("_hits", lambda c: c["places"]))))
     names = F.array_sort(F.array_distinct(F.transform("_hits", lambda c: c["item_id"].cast("string"))))
     none = F.array()
@@ -155,12 +161,14 @@ def find(
         F.coalesce(F.size(F.col("_words")), F.lit(0)).alias("_n"),
         F.coalesce(places, none.cast("array<int>")).alias("hit_places"),
         F.coalesce(names, none.cast("array<string>")).alias("items"),
+        F.coalesce(F.array_sort("_near"), none.cast("array<string>")).alias("near_items"),
     ).select(
         *own,
         F.greatest(F.col("_n"), F.lit(0)).cast("long").alias("n_words"),
         F.size("hit_places").cast("long").alias("n_hit"),
         "items",
         "hit_places",
+        "near_items",
     )
 
 
@@ -183,17 +191,17 @@ def proximity_matches(aligned: DataFrame) -> DataFrame:
     """``item_id, doc_id, print`` where two different anchors of an item stand in a text within ``SLACK``
     words of the distance they have in the item, but not at it.
 
-    Neighbouring alignments of one item in one text are compared, so the work follows their number.
+    Every alignment is held against all that begin up to ``SLACK`` words later: another anchor is among
+    them if their least or their greatest is another.
     """
-    order = W.partitionBy("item_id", "doc_id", "print").orderBy("begin", "offset")
-    apart = F.col("begin") - F.lag("begin").over(order)
-    other = F.col("offset") != F.lag("offset").over(order)
-    near = aligned.distinct().withColumn("near", (apart > 0) & (apart <= SLACK) & other)
+    ahead = W.partitionBy("item_id", "doc_id", "print").orderBy("begin").rangeBetween(1, SLACK)
+    other = (F.min("offset").over(ahead) != F.col("offset")) | (F.max("offset").over(ahead) != F.col("offset"))
+    near = aligned.withColumn("near", other)
     return near.filter("near").select("item_id", "doc_id", "print").distinct()
 
 
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """One row per document: words, hit words, items with windows that occur, and whether there are any."""
+    """One row per document: words, hit words, items with windows that occur, whether there are any, and items near."""
     found = find(docs.select("doc_id", "text"), benchmark)
     return found.select(
         "doc_id",
@@ -202,10 +210,11 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
+        F.size("near_items").cast("long").alias("n_near"),
     )
 
 
-#: The same from DuckDB.
+#: The same from DuckDB, without proximity matches.
 SQL = r"""
 with texts as (
     select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
