@@ -88,6 +88,11 @@ def write_tables(spark, folder, rows):
     ]
     spark.createDataFrame(full, SCHEMA).repartition(3).write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame(BENCHMARK, "item_id bigint, text string").write.parquet(f"{folder}/benchmark.parquet")
+    vectors = [(7 * k, [k % 5 / 4, k % 3 / 2, None if k == 60 else 0.5], k % 4 if k % 11 else None) for k in range(100)]
+    vectors = [*vectors, *vectors[:3], (None, [0.5, 0.5, 0.5], 1), (350, None, 1)] if rows else []
+    spark.createDataFrame(vectors, "vec_id bigint, embedding array<float>, label int").write.parquet(
+        f"{folder}/embeddings.parquet"
+    )
     return str(folder)
 
 

@@ -51,7 +51,7 @@ def test_repeated_rows_and_missing_ids(spark, name, repeated_dir, repeated_rows)
     assert result(spark, name, repeated_dir) == PLAIN[name](repeated_rows)
 
 
-@pytest.mark.parametrize("name", sorted(set(catalog.queries())))
+@pytest.mark.parametrize("name", sorted(set(catalog.queries()) - {"op11_fm_index", "op13_strassen"}))
 def test_other_queries_keep_repeated_rows(spark, name, repeated_dir, repeated_rows):
     found = catalog.queries()[name](spark, repeated_dir)
     ids = Counter(r["doc_id"] for r in found.select("doc_id").collect())
@@ -69,7 +69,7 @@ def test_empty_tables(spark, name, empty_dir):
 def test_agrees_with_sql(spark, name, tables, odd_dir):
     folder = odd_dir if tables == "odd" else "/root/testdata/sf0.001"
     database = duckdb.connect()
-    for table in ("documents", "benchmark"):
+    for table in ("documents", "benchmark", "embeddings"):
         path = f"{folder}/{table}.parquet" + ("/*.parquet" if tables == "odd" else "")
         database.execute(f"create view {table} as select * from '{path}'")
     expected = database.execute(catalog.checks()[name])
