@@ -23,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_ownership": queries_native.op8_ownership,
         "op9_set_similarity": queries_native.op9_set_similarity,
         "op10_positional_index": queries_native.op10_positional_index,
+        "op12_bilstm_crf": queries_quality.op12_bilstm_crf,
         "op13_strassen": queries_near.op13_strassen,
         "pipeline": corpus_pipeline.run,
     }
@@ -33,5 +34,6 @@ def checks() -> dict[str, str]:
         "op8_ownership": secret_scan.SQL,
         "op9_set_similarity": licenses.check_sql(),
         "op10_positional_index": decontaminate.SQL,
+        "op12_bilstm_crf": queries_quality.op12_bilstm_crf,
         "op13_strassen": hard_negatives.SQL,
     }

@@ -1,4 +1,4 @@
-"""Queries on quality and language."""
+"""Queries on quality, language and personal data."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import fertility, language
+from wardflow.llm import fertility, language, personal
 from wardflow.llm.common import documents
 
 
@@ -28,3 +28,8 @@ def op7_nearest_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language.fit(language.labelled_rows(docs, ~held_out()))
     rows = docs.select("doc_id", out.alias("held_out"), "text")
     return language.identify(rows, model, keep=["doc_id", "held_out"])
+
+
+def op12_bilstm_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents, by the fixed rules and by a tagger fitted on a bounded sample of them."""
+    return personal.report(documents(spark, sf_dir))
