@@ -34,6 +34,5 @@ def checks() -> dict[str, str]:
         "op8_ownership": secret_scan.SQL,
         "op9_set_similarity": licenses.check_sql(),
         "op10_positional_index": decontaminate.SQL,
-        "op12_bilstm_crf": queries_quality.op12_bilstm_crf,
         "op13_strassen": hard_negatives.SQL,
     }
