@@ -137,11 +137,15 @@ _TILE_SCHEMA = pa.schema(
 
 
 def _pairs(anchors: DataFrame, others: DataFrame, n_anchor: int, n_other: int) -> DataFrame:
-    """Every tile of anchors with every tile of candidates, each pair under a key of its own."""
+    """Every tile of anchors with every tile of candidates, each pair under a key of its own.
+
+    The sides' sizes on disk do not tell how often their tiles are repeated here, so neither may be
+    broadcast by them.
+    """
     left = anchors.withColumnRenamed("tile", "a").withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))))
     right = others.select(F.col("tile").alias("c"), *[F.col(x).alias(f"c_{x}") for x in others.columns if x != "tile"])
     right = right.withColumn("a", F.explode(F.sequence(F.lit(0), F.lit(n_anchor - 1))))
-    return left.join(right, ["a", "c"])
+    return left.hint("merge").join(right, ["a", "c"])
 
 
 class _Side:
