@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from wardflow.llm import decontaminate, hard_negatives, licenses, queries_native, queries_near, queries_quality, queries_tokens, secret_scan
+from wardflow.llm import collocations, decontaminate, hard_negatives, licenses, queries_native, queries_near, queries_quality, queries_tokens, secret_scan
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -23,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_ownership": queries_native.op8_ownership,
         "op9_set_similarity": queries_native.op9_set_similarity,
         "op10_positional_index": queries_native.op10_positional_index,
+        "op11_fm_index": queries_near.op11_fm_index,
         "op12_bilstm_crf": queries_quality.op12_bilstm_crf,
         "op13_strassen": queries_near.op13_strassen,
         "pipeline": corpus_pipeline.run,
@@ -34,5 +35,6 @@ def checks() -> dict[str, str]:
         "op8_ownership": secret_scan.SQL,
         "op9_set_similarity": licenses.check_sql(),
         "op10_positional_index": decontaminate.SQL,
+        "op11_fm_index": collocations.SQL,
         "op13_strassen": hard_negatives.SQL,
     }
