@@ -22,7 +22,7 @@ from wardflow.llm.common import bounded_batches
 from wardflow.session import materialize
 
 #: Words of one shard, and of all shards that a task has open; a longer text is not cut.
-SHARD_WORDS, OPEN_WORDS = 3_000_000, 4_000_000
+SHARD_WORDS, OPEN_WORDS = 2_000_000, 3_000_000
 
 #: Rows that leave a task at once.
 OUT_ROWS = 100_000
@@ -136,66 +136,80 @@ def index(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Da
     return rows.mapInArrow(run, SHARDS)
 
 
-def phrase_hash(keys: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """64 bits for phrases given by their words' numbers (from 1) in a shard with these keys."""
-    found = np.zeros(len(words), np.uint64)
-    for column in range(words.shape[1]):
-        found = mixed(found * _STEP + keys[words[:, column] - 1])
+def phrase_hash(columns: list[np.ndarray]) -> np.ndarray:
+    """64 bits for phrases given by the keys of their words, one column per word."""
+    found = np.zeros(len(columns[0]), np.uint64)
+    for keys in columns:
+        found = mixed(found * _STEP + keys)
     return found
 
 
 class _Index:
     """One shard in a task, with the phrases that are frequent over all shards."""
 
-    def __init__(self, row: dict, frequent: np.ndarray):
-        self.keys = np.array(row["keys"], np.int64).view(np.uint64)
+    def __init__(self, row: dict, told: pa.Table | None = None):
+        self.shard, self.keys = row["shard"], np.array(row["keys"], np.int64).view(np.uint64)
         self.front = fm_index.Side(fm_index.unpacked(row["front"], row["n"]))
-        self.back = fm_index.Side(fm_index.unpacked(row["back"], row["n"])) if row.get("back") else None
-        self.frequent = np.sort(frequent)
+        self.back = fm_index.Side(fm_index.unpacked(row["back"], row["n"]))
+        self.frequent = {} if told is None else {width: _told(told, width) for width in (2, 3)}
 
-    def hashes(self, phrases: fm_index.Phrases) -> np.ndarray:
-        return phrase_hash(self.keys, phrases.words)
+    def columns(self, phrases: fm_index.Phrases) -> list[np.ndarray]:
+        return [self.keys[phrases.words[:, k] - 1] for k in range(phrases.words.shape[1])]
+
+    def chosen(self, phrases: fm_index.Phrases) -> fm_index.Phrases:
+        """Those told to be frequent. They are met by their hashes; one phrase too many does no harm, as
+        whatever grows from it is counted by its keys."""
+        frequent, hashes = self.frequent[phrases.words.shape[1]], phrase_hash(self.columns(phrases))
+        at = np.searchsorted(frequent, hashes)
+        at[at == len(frequent)] = 0
+        return phrases.only(frequent[at] == hashes if len(frequent) else np.zeros(len(phrases), bool))
 
     def pairs(self) -> fm_index.Phrases:
         return fm_index.extend_left(self.front, fm_index.single(self.front.front))
 
-    def chosen(self, phrases: fm_index.Phrases) -> fm_index.Phrases:
-        hashes = self.hashes(phrases)
-        at = np.searchsorted(self.frequent, hashes)
-        at[at == len(self.frequent)] = 0
-        return phrases.only(self.frequent[at] == hashes if len(self.frequent) else np.zeros(len(phrases), bool))
-
-    def triples(self, pairs: fm_index.Phrases) -> fm_index.Phrases:
-        """Pairs with a word before them, where that word and the first of the pair are such a pair too."""
+    def triples(self) -> fm_index.Phrases:
+        """Frequent pairs with a word before them, where that word and the first of the pair are one too."""
+        pairs = self.chosen(self.pairs())
         found = fm_index.extend_left(self.front, pairs)
         return found.only(fm_index.within(found.low, pairs.low, pairs.size))
 
-    def fours(self, triples: fm_index.Phrases) -> fm_index.Phrases:
-        """Triples with a word after them, where the last three words are such a triple too."""
+    def fours(self) -> fm_index.Phrases:
+        """Frequent triples with a word after them, where the last three words are one too."""
+        triples = self.chosen(self.triples())
         found = fm_index.extend_right(self.back, triples)
         return found.only(fm_index.within(found.low_back, triples.low_back, triples.size))
 
+    def counted(self, phrases: fm_index.Phrases) -> pa.Table:
+        """A row per phrase: the shard, its words' keys, its count, and how often a word stands beside it."""
+        width = phrases.words.shape[1]
+        columns = [pa.array(k.view(np.int64)) for k in self.columns(phrases)]
+        before = phrases.size - self.front.ends(phrases.low, phrases.size)
+        after = phrases.size - self.back.ends(phrases.low_back, phrases.size)
+        return pa.table([np.full(len(phrases), self.shard), *columns, phrases.size, before, after], schema=_counted_schema(width))
+
+
+def _told(told: pa.Table, width: int) -> np.ndarray:
+    columns = [told.column(f"k{k}") for k in range(1, 4)]
+    rows = told.filter(columns[2].is_valid() if width == 3 else columns[2].is_null())
+    return np.sort(phrase_hash([rows.column(f"k{k}").to_numpy().view(np.uint64) for k in range(1, width + 1)]))
+
 
-_HASHED = pa.schema([("shard", pa.int64()), ("hash", pa.int64()), ("n", pa.int64())])
-HASHED = "shard long, hash long, n long"
-_COUNTED = pa.schema([(f"k{k}", pa.int64()) for k in range(1, 5)] + [(c, pa.int64()) for c in ("a", "n_left", "n_right")])
-COUNTED = "k1 long, k2 long, k3 long, k4 long, a long, n_left long, n_right long"
+_SUMS = ("a", "n_left", "n_right")
 
 
-def _hashed(shard: int, held: _Index, phrases: fm_index.Phrases) -> pa.Table:
-    return pa.table([np.full(len(phrases), shard), held.hashes(phrases).view(np.int64), phrases.size], schema=_HASHED)
+def _counted_schema(width: int) -> pa.Schema:
+    return pa.schema([(c, pa.int64()) for c in ("shard", *_keys(width), *_SUMS)])
 
 
-def _counted(held: _Index, phrases: fm_index.Phrases) -> pa.Table:
-    width = phrases.words.shape[1]
-    columns = [pa.array(held.keys[phrases.words[:, k] - 1].view(np.int64)) for k in range(width)]
-    columns += [pa.nulls(len(phrases), pa.int64())] * (fm_index.DEPTH - width)
-    before = phrases.size - held.front.ends(phrases.low, phrases.size)
-    after = phrases.size - held.back.ends(phrases.low_back, phrases.size)
-    return pa.table([*columns, phrases.size, before, after], schema=_COUNTED)
+def _keys(width: int) -> list[str]:
+    return [f"k{k}" for k in range(1, width + 1)]
 
 
-def _rows(table: pa.Table) -> Iterator[dict]:
+def _counted_ddl(width: int) -> str:
+    return ", ".join(f"{c} long" for c in _counted_schema(width).names)
+
+
+def _rows(table: pa.Table | pa.RecordBatch) -> Iterator[dict]:
     for n in range(table.num_rows):
         yield {name: table.column(name)[n].as_py() for name in table.schema.names}
 
@@ -203,53 +217,50 @@ def _rows(table: pa.Table) -> Iterator[dict]:
 def _pairs_of_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in _rows(batch):
-            held = _Index(row, np.zeros(0, np.uint64))
-            yield from _hashed(row["shard"], held, held.pairs()).to_batches(max_chunksize=OUT_ROWS)
-
-
-def _held(shard: pa.Table, told: pa.Table) -> Iterator[tuple[int, _Index]]:
-    frequent = told.column("hash").to_numpy().view(np.uint64)
-    for row in _rows(shard):
-        yield row["shard"], _Index(row, frequent)
+            held = _Index(row)
+            yield from held.counted(held.pairs()).to_batches(max_chunksize=OUT_ROWS)
 
 
 def _triples_of_shard(shard: pa.Table, told: pa.Table) -> pa.Table:
-    found = [_hashed(n, held, held.triples(held.chosen(held.pairs()))) for n, held in _held(shard, told)]
-    return pa.concat_tables(found) if found else _HASHED.empty_table()
+    found = [held.counted(held.triples()) for held in (_Index(row, told) for row in _rows(shard))]
+    return pa.concat_tables([_counted_schema(3).empty_table(), *found])
 
 
-def _counts_of_shard(shard: pa.Table, told: pa.Table) -> pa.Table:
-    found = []
-    for _, held in _held(shard, told):
-        pairs = held.chosen(held.pairs())
-        triples = held.chosen(held.triples(pairs))
-        found += [_counted(held, phrases) for phrases in (pairs, triples, held.fours(triples))]
-    return pa.concat_tables(found) if found else _COUNTED.empty_table()
+def _fours_of_shard(shard: pa.Table, told: pa.Table) -> pa.Table:
+    found = [held.counted(held.fours()) for held in (_Index(row, told) for row in _rows(shard))]
+    return pa.concat_tables([_counted_schema(4).empty_table(), *found])
 
 
-def _frequent(hashed: DataFrame, least: int, label: str) -> DataFrame:
-    """Which phrases of each shard have the least count over all shards.
+def _frequent(counted: DataFrame, width: int, least: int, label: str) -> DataFrame:
+    """The phrases of each shard that have the least count over all shards, with their sums over these.
 
     A phrase has one row per shard that holds it, however often it is there, so no phrase weighs more
-    than the number of shards. Two phrases of one hash may both pass; their own counts decide later.
+    than the number of shards.
     """
-    total = F.sum("n").over(Window.partitionBy("hash"))
-    return materialize(hashed.withColumn("total", total).filter(F.col("total") >= least).select("shard", "hash"), label)
+    same = Window.partitionBy(*_keys(width))
+    sums = [F.sum(c).over(same).alias(c) for c in _SUMS]
+    return materialize(counted.select("shard", *_keys(width), *sums).filter(F.col("a") >= least), label)
+
+
+def _one_row_each(phrases: DataFrame, width: int) -> DataFrame:
+    """Phrases once, by an array of their words' keys."""
+    rows = phrases.groupBy(*_keys(width)).agg(*[F.max(c).alias(c) for c in _SUMS])
+    return rows.select(F.array(*_keys(width)).alias("keys"), *_SUMS)
 
 
 def count_phrases(shards: DataFrame, least: int = LEAST) -> DataFrame:
     """All phrases of 2 to 4 words that occur ``least`` times: keys of their words, count, and how often a
     word stands before and after them in the same piece."""
-    forward = shards.select("shard", "n", "front", "keys")
-    pairs = _frequent(forward.mapInArrow(_pairs_of_shards, HASHED), least, "frequent-pairs")
-    triples = forward.groupBy("shard").cogroup(pairs.groupBy("shard")).applyInArrow(_triples_of_shard, HASHED)
-    triples = _frequent(triples, least, "frequent-triples")
-    told = pairs.unionByName(triples)
-    both = shards.select("shard", "n", "front", "back", "keys")
-    counted = both.groupBy("shard").cogroup(told.groupBy("shard")).applyInArrow(_counts_of_shard, COUNTED)
-    sums = counted.groupBy("k1", "k2", "k3", "k4").agg(*[F.sum(c).alias(c) for c in ("a", "n_left", "n_right")])
-    keys = F.filter(F.array("k1", "k2", "k3", "k4"), lambda k: k.isNotNull())
-    return sums.filter(F.col("a") >= least).select(keys.alias("keys"), "a", "n_left", "n_right")
+    shards = shards.select("shard", "n", "front", "back", "keys")
+    pairs = _frequent(shards.mapInArrow(_pairs_of_shards, _counted_ddl(2)), 2, least, "frequent-pairs")
+    told = pairs.select("shard", "k1", "k2", F.lit(None).cast("long").alias("k3"))
+    triples = shards.groupBy("shard").cogroup(told.groupBy("shard")).applyInArrow(_triples_of_shard, _counted_ddl(3))
+    triples = _frequent(triples, 3, least, "frequent-triples")
+    told = told.unionByName(triples.select("shard", "k1", "k2", "k3"))
+    fours = shards.groupBy("shard").cogroup(told.groupBy("shard")).applyInArrow(_fours_of_shard, _counted_ddl(4))
+    fours = fours.groupBy(*_keys(4)).agg(*[F.sum(c).alias(c) for c in _SUMS]).filter(F.col("a") >= least)
+    found = _one_row_each(pairs, 2).unionByName(_one_row_each(triples, 3))
+    return found.unionByName(fours.select(F.array(*_keys(4)).alias("keys"), *_SUMS))
 
 
 def word_counts(shards: DataFrame) -> DataFrame:
@@ -282,7 +293,8 @@ def mine(
     """
     shards = materialize(index(docs, text_col, lang_col), "phrase-shards")
     words = materialize(word_counts(shards), "phrase-words")
-    phrases = materialize(_named(count_phrases(shards, least), words.filter(F.col("f") >= least)), "phrases")
+    counted = materialize(count_phrases(shards, least), "phrase-counts")
+    phrases = materialize(_named(counted, words.filter(F.col("f") >= least)), "phrases")
     known = words.select("lang", F.col("word").alias("phrase"), F.col("f")).filter(F.col("f") >= least)
     known = known.unionByName(phrases.select("lang", "phrase", F.col("a").alias("f")))
     scored = _scored(phrases, known)

@@ -10,6 +10,7 @@ side, so that a phrase grows both ways without the text.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -50,12 +51,16 @@ class Side:
 
     def __init__(self, front: np.ndarray):
         self.front = front
-        order = np.argsort(front, kind="stable")
-        # Of row i with number c in front: where c's rows begin, plus how many c stand before i.
-        self.next = np.empty(len(front), np.int64)
-        self.next[order] = np.arange(len(front))
         self.edges = np.concatenate([[0], np.cumsum(front == 0)])
 
+    @cached_property
+    def next(self) -> np.ndarray:
+        """Of row i with number c in front: where c's rows begin, plus how many c stand before i."""
+        order = np.argsort(self.front, kind="stable")
+        found = np.empty(len(order), np.int64)
+        found[order] = np.arange(len(order))
+        return found
+
     def ends(self, low: np.ndarray, size: np.ndarray) -> np.ndarray:
         """How many rows of each range stand at an end of their piece."""
         return self.edges[low + size] - self.edges[low]
