@@ -1,8 +1,9 @@
 """Phrase mining: counts of all phrases of 2 to 4 words, per language, from FM-indexes of shards.
 
 Every task packs its texts into shards of one language and indexes each. No text is read again: phrases
-grow in the indexes, level by level. A phrase reaches the least count only if its parts do, so after each
-level the shards are told which of their phrases are frequent over all shards, and extend only these.
+grow in the indexes, level by level. A phrase reaches the least count only if its parts do, with a word
+beside them; so after each level the shards are told which of their phrases have that count of words to
+their left and to their right over all shards, and extend only these.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -151,33 +153,40 @@ class _Index:
         self.shard, self.keys = row["shard"], np.array(row["keys"], np.int64).view(np.uint64)
         self.front = fm_index.Side(fm_index.unpacked(row["front"], row["n"]))
         self.back = fm_index.Side(fm_index.unpacked(row["back"], row["n"]))
-        self.frequent = {} if told is None else {width: _told(told, width) for width in (2, 3)}
+        self.told = told
 
     def columns(self, phrases: fm_index.Phrases) -> list[np.ndarray]:
         return [self.keys[phrases.words[:, k] - 1] for k in range(phrases.words.shape[1])]
 
-    def chosen(self, phrases: fm_index.Phrases) -> fm_index.Phrases:
-        """Those told to be frequent. They are met by their hashes; one phrase too many does no harm, as
-        whatever grows from it is counted by its keys."""
-        frequent, hashes = self.frequent[phrases.words.shape[1]], phrase_hash(self.columns(phrases))
+    def chosen(self, phrases: fm_index.Phrases, side: str) -> fm_index.Phrases:
+        """Those told to have the least count of words on one side. They are met by their hashes; one phrase
+        too many does no harm, as whatever grows from it is counted by its keys."""
+        width = phrases.words.shape[1]
+        rows = self.told.filter(pc.and_(pc.equal(self.told.column("width"), width), self.told.column(side)))
+        frequent = np.sort(phrase_hash([rows.column(k).to_numpy().view(np.uint64) for k in _keys(width)]))
+        if not len(frequent):
+            return phrases.only(np.zeros(len(phrases), bool))
+        hashes = phrase_hash(self.columns(phrases))
         at = np.searchsorted(frequent, hashes)
         at[at == len(frequent)] = 0
-        return phrases.only(frequent[at] == hashes if len(frequent) else np.zeros(len(phrases), bool))
+        return phrases.only(frequent[at] == hashes)
 
     def pairs(self) -> fm_index.Phrases:
         return fm_index.extend_left(self.front, fm_index.single(self.front.front))
 
     def triples(self) -> fm_index.Phrases:
-        """Frequent pairs with a word before them, where that word and the first of the pair are one too."""
-        pairs = self.chosen(self.pairs())
-        found = fm_index.extend_left(self.front, pairs)
-        return found.only(fm_index.within(found.low, pairs.low, pairs.size))
+        """Pairs that grow to the left, with each word before them whose pair with the first grows to the right."""
+        pairs = self.pairs()
+        found = fm_index.extend_left(self.front, self.chosen(pairs, "left"))
+        before = self.chosen(pairs, "right")
+        return found.only(fm_index.within(found.low, before.low, before.size))
 
     def fours(self) -> fm_index.Phrases:
-        """Frequent triples with a word after them, where the last three words are one too."""
-        triples = self.chosen(self.triples())
-        found = fm_index.extend_right(self.back, triples)
-        return found.only(fm_index.within(found.low_back, triples.low_back, triples.size))
+        """Triples that grow to the right, with each word after them if the last three words grow to the left."""
+        triples = self.triples()
+        found = fm_index.extend_right(self.back, self.chosen(triples, "right"))
+        after = self.chosen(triples, "left")
+        return found.only(fm_index.within(found.low_back, after.low_back, after.size))
 
     def counted(self, phrases: fm_index.Phrases) -> pa.Table:
         """A row per phrase: the shard, its words' keys, its count, and how often a word stands beside it."""
@@ -188,12 +197,6 @@ class _Index:
         return pa.table([np.full(len(phrases), self.shard), *columns, phrases.size, before, after], schema=_counted_schema(width))
 
 
-def _told(told: pa.Table, width: int) -> np.ndarray:
-    columns = [told.column(f"k{k}") for k in range(1, 4)]
-    rows = told.filter(columns[2].is_valid() if width == 3 else columns[2].is_null())
-    return np.sort(phrase_hash([rows.column(f"k{k}").to_numpy().view(np.uint64) for k in range(1, width + 1)]))
-
-
 _SUMS = ("a", "n_left", "n_right")
 
 
@@ -242,6 +245,13 @@ def _frequent(counted: DataFrame, width: int, least: int, label: str) -> DataFra
     return materialize(counted.select("shard", *_keys(width), *sums).filter(F.col("a") >= least), label)
 
 
+def _growing(phrases: DataFrame, width: int, least: int) -> DataFrame:
+    """What shards are told: the phrases that words stand beside often enough for a longer frequent one."""
+    left, right = (F.col(c) >= least for c in ("n_left", "n_right"))
+    keys = [F.col(k) if k in phrases.columns else F.lit(None).cast("long").alias(k) for k in _keys(3)]
+    return phrases.filter(left | right).select("shard", F.lit(width).alias("width"), *keys, left.alias("left"), right.alias("right"))
+
+
 def _one_row_each(phrases: DataFrame, width: int) -> DataFrame:
     """Phrases once, by an array of their words' keys."""
     rows = phrases.groupBy(*_keys(width)).agg(*[F.max(c).alias(c) for c in _SUMS])
@@ -253,10 +263,10 @@ def count_phrases(shards: DataFrame, least: int = LEAST) -> DataFrame:
     word stands before and after them in the same piece."""
     shards = shards.select("shard", "n", "front", "back", "keys")
     pairs = _frequent(shards.mapInArrow(_pairs_of_shards, _counted_ddl(2)), 2, least, "frequent-pairs")
-    told = pairs.select("shard", "k1", "k2", F.lit(None).cast("long").alias("k3"))
+    told = _growing(pairs, 2, least)
     triples = shards.groupBy("shard").cogroup(told.groupBy("shard")).applyInArrow(_triples_of_shard, _counted_ddl(3))
     triples = _frequent(triples, 3, least, "frequent-triples")
-    told = told.unionByName(triples.select("shard", "k1", "k2", "k3"))
+    told = told.unionByName(_growing(triples, 3, least))
     fours = shards.groupBy("shard").cogroup(told.groupBy("shard")).applyInArrow(_fours_of_shard, _counted_ddl(4))
     fours = fours.groupBy(*_keys(4)).agg(*[F.sum(c).alias(c) for c in _SUMS]).filter(F.col("a") >= least)
     found = _one_row_each(pairs, 2).unionByName(_one_row_each(triples, 3))
