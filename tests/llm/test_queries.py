@@ -74,7 +74,9 @@ def test_agrees_with_sql(spark, name, tables, odd_dir):
         database.execute(f"create view {table} as select * from '{path}'")
     expected = database.execute(catalog.checks()[name])
     names = [c[0] for c in expected.description]
-    found = catalog.queries()[name](spark, folder).select(*names)
+    found = catalog.queries()[name](spark, folder)
+    assert sorted(found.columns) == sorted(names)
+    found = found.select(*names)
     got, wanted = Counter(map(tuple, found.collect())), Counter(expected.fetchall())
     assert got == wanted
 

@@ -214,7 +214,7 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
 
 
-#: The same from DuckDB, without proximity matches.
+#: The same from DuckDB: all windows of all texts, and all pairs of anchors' alignments.
 SQL = r"""
 with texts as (
     select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -242,8 +242,29 @@ with texts as (
 ), named as (
     select doc_id, count(*) as n_items, string_agg(item_id::varchar, ',' order by item_id::varchar) as names
     from (select distinct doc_id, item_id from hits) group by doc_id
+), item_words as (
+    select distinct item_id, words, win, unnest(range(len(words))) as place, unnest(list_transform(words, lambda w: lower(w))) as word
+    from sized where item_id is not null
+), doc_words as (
+    select doc_id, unnest(range(len(words))) as place, unnest(list_transform(words, lambda w: lower(w))) as word from texts
+), said as (
+    select word, count(*) as n from doc_words semi join item_words using (word) group by word
+), anchors as (
+    select distinct item_id, place, word from (
+        select item_id, words, i.win, s, place, word, coalesce(n, 0) as n
+        from (select *, unnest(range(len(words) - win + 1)) as s from sized where item_id is not null) w
+            join item_words i using (item_id, words) left join said using (word)
+        where place between s and s + w.win - 1
+        qualify row_number() over (partition by item_id, words, s order by coalesce(n, 0), place, word) <= 2)
+), aligned as (
+    select distinct item_id, doc_id, d.place - a.place as begin, a.place as anchor from doc_words d join anchors a using (word)
+), near as (
+    select a.doc_id, count(distinct a.item_id) as n_near
+    from aligned a join aligned b on a.item_id = b.item_id and a.doc_id is not distinct from b.doc_id
+        and b.begin - a.begin between 1 and 4 and a.anchor <> b.anchor
+    group by a.doc_id
 )
 select doc_id, len(words) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
-    sha256(coalesce(names, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
-from texts left join places using (doc_id) left join named using (doc_id)
+    sha256(coalesce(names, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated, coalesce(n_near, 0) as n_near
+from texts left join places using (doc_id) left join named using (doc_id) left join near using (doc_id)
 """
