@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -240,9 +241,14 @@ def _frequent(counted: DataFrame, width: int, least: int, label: str) -> DataFra
     A phrase has one row per shard that holds it, however often it is there, so no phrase weighs more
     than the number of shards.
     """
+    # Sorting by the keys as they are would meet many rows of one first word; mixed with the other keys,
+    # which can be undone, the first column tells nearly all phrases apart.
+    first, *others = _keys(width)
+    mixed_key = reduce(Column.bitwiseXOR, [F.col(k) for k in others], F.col(first)).alias(first)
     same = Window.partitionBy(*_keys(width))
     sums = [F.sum(c).over(same).alias(c) for c in _SUMS]
-    return materialize(counted.select("shard", *_keys(width), *sums).filter(F.col("a") >= least), label)
+    found = counted.select("shard", mixed_key, *others, *_SUMS).select("shard", *_keys(width), *sums)
+    return materialize(found.filter(F.col("a") >= least).select("shard", mixed_key, *others, *_SUMS), label)
 
 
 def _growing(phrases: DataFrame, width: int, least: int) -> DataFrame:
