@@ -36,3 +36,8 @@ def shifted(when: Column | str, days: Column | int = 0, minutes: Column | int =
 
 def hours_ago(hours: int) -> Column:
     return F.current_timestamp() - F.make_dt_interval(hours=F.lit(hours))
+
+
+def utc_date(when: Column) -> Column:
+    """The day of a timestamp in UTC, whatever the session's zone."""
+    return F.to_date(F.to_utc_timestamp(when, F.current_timezone()))

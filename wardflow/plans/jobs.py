@@ -24,9 +24,8 @@ from wardflow.sources.files import (
     read_csv_dir,
     read_parquet_dir,
     read_resource,
-    unreadable_files,
 )
-from wardflow.streaming.audit import note_unreadable
+from wardflow.sources.history import load_files
 from wardflow.streaming.upsert import ProcessedTable
 
 
@@ -65,16 +64,21 @@ def _process(
 
 
 def load_calls(spark: SparkSession, clean: str, audit: str | None = None) -> DataFrame:
-    """Complete calls as rows of the call table; files that cannot be read are skipped and, with ``audit``,
-    noted there."""
-    rows = read_parquet_dir(spark, clean, CALLS, skip_corrupt=True)
+    """Complete calls as rows of the call table.
+
+    What cannot be read of a file is skipped. With ``audit`` every file is noted there with the rows it
+    declares and those read (``sources.history``); without it nothing tells of rows that are missing.
+    """
     if audit:
-        note_unreadable(unreadable_files(spark, clean, rows), audit, "calls")
-    return rows
+        return load_files(spark, clean, CALLS, audit, "calls")
+    return read_parquet_dir(spark, clean, CALLS, skip_corrupt=True)
 
 
-def load_feedback(spark: SparkSession, clean: str) -> DataFrame:
-    """Complete feedback as rows of the feedback table, whose overall score is a whole number."""
+def load_feedback(spark: SparkSession, clean: str, audit: str | None = None) -> DataFrame:
+    """Complete feedback as rows of the feedback table, whose overall score is a whole number; files and
+    ``audit`` as in ``load_calls``."""
+    if audit:
+        return load_files(spark, clean, FEEDBACK_TABLE, audit, "feedback", FEEDBACK)
     return read_parquet_dir(spark, clean, FEEDBACK_TABLE, FEEDBACK, skip_corrupt=True)
 
 
@@ -84,12 +88,18 @@ def load_or_reject(
     schema: T.StructType,
     file_schema: T.StructType,
     rejects: str,
+    audit: str | None = None,
+    table: str = "rows",
 ) -> DataFrame:
     """Rows of a table from Parquet files with the types of ``file_schema``.
 
-    Unreadable files are left out; rows with a value that does not fit its column go to ``rejects``.
+    What cannot be read is left out and, with ``audit``, noted there by file; rows with a value that does
+    not fit its column go to ``rejects``.
     """
-    found = read_parquet_dir(spark, source, file_schema=file_schema, skip_corrupt=True)
+    if audit:
+        found = load_files(spark, source, file_schema, audit, table)
+    else:
+        found = read_parquet_dir(spark, source, file_schema=file_schema, skip_corrupt=True)
     good, bad = cast_or_reject(match_columns(found, schema, cast=False), schema)
     append_if_any(bad, rejects)
     return good

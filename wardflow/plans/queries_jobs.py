@@ -21,6 +21,7 @@ from wardflow.sinks.files import (
     truncate,
     write_resources,
 )
+from wardflow.sources import history
 from wardflow.sources.files import read_csv_dir, read_parquet_dir, unreadable_files
 from wardflow.streaming.audit import load_audit, note_unreadable
 from wardflow.streaming.ingest import document_stream, load_resource_stream
@@ -381,3 +382,54 @@ def corrupt_files_noted(spark, sf_dir):
     note_unreadable(unreadable_files(spark, path, rows, glob="part-*"), audit, "orders")
     loaded = rows.agg(F.count("*")).scalar()
     return load_audit(spark, audit).select("table_name", "reject_count", loaded.alias("loaded"))
+
+
+def _half_broken(spark, good: str, path: str) -> None:
+    """Copies of Parquet files with some bytes of their middle overwritten.
+
+    The format's last four bytes are written as the end of the text writer's only line.
+    """
+    content, size = F.col("content"), F.col("length").cast("int")
+    begin = (size * 3 / 5).cast("int")
+    kept = F.substring(content, F.lit(1), begin)
+    rest = F.substring(content, begin + 1 + 400, size - begin - 400 - 4)
+    text = F.concat(kept.cast("string"), F.repeat(F.lit("#"), F.lit(400)), rest.cast("string"))
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*.parquet").load(good)
+    files.select(text.alias("value")).write.option("lineSep", "PAR1").text(path)
+
+
+@query(
+    "load_history",
+    """
+    select * from (
+      select 'good' as part, 2 as notes, 'loaded' as status, count(*) filter (o_orderkey % 3 = 0) as rows_expected, true as agrees from orders
+      union all
+      select 'half', 2, 'partly loaded', count(*) filter (o_orderkey % 3 = 1), true from orders
+      union all
+      select 'none', 2, 'failed', null, true
+      union all
+      select 'void', 2, 'loaded', 0, true)""",
+)
+def load_history(spark, sf_dir):
+    """A good file, one broken in its middle, one that is no Parquet file and one without rows, loaded twice."""
+    root, notes = scratch_path(spark, "partly-broken"), scratch_path(spark, "history")
+    orders = d.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    small = {"parquet.block.row.count.limit": "100", "compression": "none"}
+    parts = {"good": orders.filter("o_orderkey % 3 = 0"), "void": orders.filter("false"), "whole": orders.filter("o_orderkey % 3 = 1")}
+    for name, rows in parts.items():
+        folder = f"{root}/{name}" if name != "whole" else scratch_path(spark, "whole")
+        rows.coalesce(1).write.options(**small).parquet(folder)
+        if name == "whole":
+            _half_broken(spark, folder, f"{root}/half")
+    orders.limit(1).select(F.lit("no table").alias("value")).write.text(f"{root}/none")
+    loads = [history.load_files(spark, root, orders.schema, notes, "orders", glob="part-*") for _ in range(2)]
+    loaded = loads[0].agg(F.count("*")).scalar()
+    noted = history.load_history(spark, notes, "orders")
+    part = F.regexp_extract("file_name", "/(good|half|none|void)/", 1).alias("part")
+    # Both runs read the same rows, which are those that the load returned, and the broken file lost some but not all.
+    by_run = noted.groupBy("run_id").agg(F.sum("rows_read").alias("all_read"))
+    lost = F.col("rows_expected") - F.col("rows_read")
+    sound = F.when(F.col("status") == "partly loaded", (lost > 0) & (F.col("rows_read") > 0)).otherwise(F.coalesce(lost, F.lit(0)) == 0)
+    return noted.join(by_run, "run_id").groupBy(part, "status", "rows_expected").agg(
+        F.count("*").cast("int").alias("notes"), F.every(sound & (F.col("all_read") == loaded)).alias("agrees")
+    )
