@@ -18,7 +18,8 @@ from wardflow.operators.merge import as_inserts
 from wardflow.operators.quality import CLEAN, MISSING, cast_or_reject, write_parted
 from wardflow.schemas import CALLS, FEEDBACK, FEEDBACK_SCORES, FEEDBACK_TABLE
 from wardflow.session import discard, folder_exists, scratch_path
-from wardflow.sinks.files import append_if_any, put_documents
+from wardflow.sinks.files import append_if_any
+from wardflow.sinks.store import finish_put, put_documents
 from wardflow.sources.files import (
     match_columns,
     read_csv_dir,
@@ -143,7 +144,11 @@ def produce_resources(
 def load_resource(
     spark: SparkSession, store: str, resource: str, one_per_file: bool = False
 ) -> DataFrame:
-    """Stored documents of one type as rows of its table; a bad document fails the job."""
+    """Stored documents of one type as rows of its table; a bad document fails the job.
+
+    A put that failed half-way is finished first.
+    """
+    finish_put(spark, store, resource)
     return flatten(read_resource(spark, store, resource, one_per_file), SPECS[resource])
 
 
@@ -151,6 +156,7 @@ def load_good_resources(
     spark: SparkSession, store: str, resource: str, rejects: str, one_per_file: bool = False
 ) -> DataFrame:
     """The same, but bad documents go to ``rejects``."""
+    finish_put(spark, store, resource)
     docs = read_resource(spark, store, resource, one_per_file)
     rows, bad = flatten_or_reject(docs, SPECS[resource])
     append_if_any(bad, rejects)

@@ -9,6 +9,8 @@ from wardflow.operators.merge import as_inserts, merge_changes, put_resources, s
 from wardflow.plans import standins as d
 from wardflow.plans.catalog import query
 from wardflow.session import scratch_path
+from wardflow.sinks.store import put_documents
+from wardflow.sources.files import read_resource
 from wardflow.streaming.upsert import ProcessedTable
 
 COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
@@ -167,6 +169,23 @@ def put_resources_query(spark, sf_dir):
     return put_resources(processed(spark, sf_dir), puts, ["o_orderkey"], ["seq"])
 
 
+@query(
+    "put_last_arrival",
+    """
+    select 'U' || user_id as id, event_id, event_type from events
+    qualify row_number() over (partition by user_id order by event_id % 3 desc, event_id desc) = 1""",
+)
+def put_last_arrival(spark, sf_dir):
+    """Three puts of each user's events: in the store is the last that arrived in the last put."""
+    events, store = d.table(spark, sf_dir, "events"), scratch_path(spark, "store")
+    kinds = F.struct(F.concat(F.lit("U"), F.col("user_id")).alias("id"), "event_type", "event_id")
+    docs = events.select(kinds["id"].alias("id"), F.to_json(kinds).alias("resource_json"), "event_id")
+    for turn in range(3):
+        put_documents(docs.filter(F.col("event_id") % 3 == turn), store, "Event", arrival="event_id", parts=8)
+    body = F.from_json("raw_data", "id string, event_id long, event_type string").alias("d")
+    return read_resource(spark, store, "Event").select(body).select("d.*")
+
+
 @query(
     "snapshot_changes",
     """

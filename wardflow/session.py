@@ -89,6 +89,12 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     return _store(spark, path)[0].exists(_store(spark, path)[1])
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """The names of what lies in a folder."""
+    store, target = _store(spark, path)
+    return sorted(status.getPath().getName() for status in store.listStatus(target))
+
+
 def _store(spark: SparkSession, path: str):
     """The store a path is in, and the path in its terms.
 
