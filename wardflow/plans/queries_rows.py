@@ -15,6 +15,7 @@ from wardflow.operators.quality import (
     split_missing,
     write_split,
 )
+from wardflow.operators.rotation import rotated_batches
 from wardflow.plans import standins as d
 from wardflow.plans.catalog import query
 from wardflow.plans.standins import with_tables
@@ -312,6 +313,33 @@ def rotation_windows_query(spark, sf_dir):
     return events.groupBy("window_start").agg(F.count("*").alias("row_count"))
 
 
+ROTATED_SQL = """
+    with recursive rows as (
+      select event_id, ts, row_number() over (order by ts, event_id) as n,
+        lag(ts) over (order by ts, event_id) as before
+      from events),
+    timed as (select *, before is null or ts - before > interval 25 minutes as begins from rows),
+    due as (
+      select *, case when begins then ts else before end + interval 1 hour as due,
+        min(case when begins then n end) over (order by n rows between 1 following and unbounded following) as gap
+      from timed),
+    firsts as (select ts, min(n) as n from rows group by ts),
+    links as materialized (
+      select d.n, least(d.n + 20, coalesce(f.n + 1, d.n + 20), coalesce(gap, d.n + 20)) as next
+      from due d asof left join firsts f on d.due <= f.ts),
+    starts(n, batch_id) as (
+      select cast(1 as bigint), cast(1 as bigint)
+      union all select l.next, s.batch_id + 1 from starts s join links l on l.n = s.n
+      where l.next <= (select max(n) from rows))
+    select event_id, batch_id from rows asof join starts on rows.n >= starts.n"""
+
+
+@query("rotated_batches", ROTATED_SQL)
+def rotated_batches_query(spark, sf_dir):
+    events = d.table(spark, sf_dir, "events").select("event_id", "ts")
+    return rotated_batches(events, "ts", ["event_id"], 20, 3600, 25 * 60, span=2000).drop("ts")
+
+
 _EVENT = T.StructType(
     [
         T.StructField("event_id", T.LongType()),

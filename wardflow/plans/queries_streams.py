@@ -16,12 +16,14 @@ from wardflow.plans.queries_changes import (
     merged_sql,
     processed,
 )
+from wardflow.plans.queries_rows import ROTATED_SQL
 from wardflow.plans.standins import with_tables
 from wardflow.session import scratch_path
 from wardflow.sinks.files import write_resources
 from wardflow.sources.messages import encode_messages
 from wardflow.streaming.audit import load_audit
 from wardflow.streaming.ingest import (
+    append_stream,
     document_stream,
     file_stream,
     ingest_messages,
@@ -29,6 +31,7 @@ from wardflow.streaming.ingest import (
     read_ingested,
     write_csv_batches,
 )
+from wardflow.streaming.rotation import rotated_stream
 from wardflow.streaming.upsert import ProcessedTable, merge_stream
 
 _FEEDBACK = T.StructType(
@@ -225,3 +228,14 @@ def staged_documents(spark, sf_dir):
     return counted("Endpoint", "$.contact[0].value").unionByName(
         counted("Organization", "$.contact[0].telecom[1].value")
     )
+
+
+@query("stream_rotated_batches", ROTATED_SQL)
+def stream_rotated_batches(spark, sf_dir):
+    """Events as one consumer batches them as they arrive: the numbers of the batch form."""
+    schema = d.table(spark, sf_dir, "events").schema
+    events = file_stream(spark, f"{sf_dir}/events.parque[t]", schema).select("event_id", "ts")
+    path = scratch_path(spark, "rotated")
+    numbered = rotated_stream(events, "ts", ["event_id"], None, 20, 3600, 25 * 60).select("event_id", "batch_id")
+    append_stream(numbered, path, scratch_path(spark, "rotated-progress")).awaitTermination()
+    return spark.read.schema("event_id long, batch_id long").parquet(path)
