@@ -15,6 +15,7 @@ from wardflow.streaming.ingest import (
     ingest_messages,
     load_resource_stream,
     read_ingested,
+    read_undecodable,
     write_csv_batches,
 )
 
@@ -128,3 +129,22 @@ def test_bad_documents_of_a_stream_are_kept_apart(spark, tmp_path):
     job.awaitTermination()
     assert [r.id for r in spark.read.parquet(out).collect()] == ["x"]
     assert [r.bad_columns for r in spark.read.parquet(rejects).collect()] == [["start_date"]]
+
+
+def test_messages_that_are_no_text_are_kept_with_their_place(spark, tmp_path):
+    topic = tmp_path / "topic"
+    write_topic(topic, "0.txt", [1, 2])
+    with (topic / "0.txt").open("ab") as file:
+        file.write(b"CL-\xff\xfe,x\n\xc3\n")
+    audit = str(tmp_path / "audit")
+    stream = messages(spark, topic).select(
+        "value", F.lit("calls").alias("topic"), F.lit(3).alias("partition"), F.lit(7).cast("long").alias("offset"),
+        F.col("_metadata.file_path").alias("file_name"),
+    )
+    ingest_messages(stream, CALLS, str(tmp_path / "out"), str(tmp_path / "progress"), audit=audit, table="calls").awaitTermination()
+    found = read_undecodable(spark, str(tmp_path / "out")).collect()
+    assert sorted(bytes(r.message) for r in found) == [b"CL-\xff\xfe,x", b"\xc3"]
+    assert {(r.topic, r.partition, r.offset, r.file_name.rsplit("/", 1)[1]) for r in found} == {("calls", 3, 7, "0.txt")}
+    assert read_ingested(spark, str(tmp_path / "out"), CALLS, "clean").count() == 2
+    assert read_ingested(spark, str(tmp_path / "out"), CALLS, "missing").count() == 0
+    assert [(r.row_count, r.reject_count) for r in load_audit(spark, audit, "calls").collect()] == [(4, 2)]

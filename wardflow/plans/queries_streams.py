@@ -20,7 +20,7 @@ from wardflow.plans.queries_rows import ROTATED_SQL
 from wardflow.plans.standins import with_tables
 from wardflow.session import scratch_path
 from wardflow.sinks.files import write_resources
-from wardflow.sources.messages import encode_messages
+from wardflow.sources.messages import encode_messages, message_stream
 from wardflow.streaming.audit import load_audit
 from wardflow.streaming.ingest import (
     append_stream,
@@ -29,6 +29,7 @@ from wardflow.streaming.ingest import (
     ingest_messages,
     load_resource_stream,
     read_ingested,
+    read_undecodable,
     write_csv_batches,
 )
 from wardflow.streaming.rotation import rotated_stream
@@ -239,3 +240,26 @@ def stream_rotated_batches(spark, sf_dir):
     numbered = rotated_stream(events, "ts", ["event_id"], None, 20, 3600, 25 * 60).select("event_id", "batch_id")
     append_stream(numbered, path, scratch_path(spark, "rotated-progress")).awaitTermination()
     return spark.read.schema("event_id long, batch_id long").parquet(path)
+
+
+@query(
+    "stream_ingest_corrupt",
+    """
+    select case event_id % 10 when 0 then 'undecodable' when 1 then 'missing' else 'clean' end as outcome,
+      count(*) as row_count, sum(case when event_id % 10 = 0 then length(event_id::varchar) + 2 else 0 end)::bigint as bytes
+    from events group by all""",
+)
+def stream_ingest_corrupt(spark, sf_dir):
+    """Feedback lines among which some are no text at all and some have a word for their score."""
+    events, topic, path = d.table(spark, sf_dir, "events"), scratch_path(spark, "topic"), scratch_path(spark, "ingest")
+    line = F.concat_ws(",", F.concat(F.lit("FB-"), F.col("event_id")), F.lit("P1"), F.lit("2024-01-02 03:04:05"), "event_type", "value")
+    broken = F.concat(F.col("event_id").cast("string").cast("binary"), F.unhex(F.lit("C3FF")))
+    value = F.when(F.col("event_id") % 10 == 0, broken.cast("string")).when(F.col("event_id") % 10 == 1, F.concat(line, F.lit("x"))).otherwise(line)
+    events.select(value.alias("value")).write.text(topic)
+    stream = message_stream(spark, {"path": topic}, "text")
+    ingest_messages(stream, _FEEDBACK, path, scratch_path(spark, "ingest-progress")).awaitTermination()
+    good = [read_ingested(spark, path, _FEEDBACK, o).select(F.lit(o).alias("outcome"), F.lit(0).alias("size")) for o in ("clean", "missing")]
+    bad = read_undecodable(spark, path).select(F.lit("undecodable").alias("outcome"), F.octet_length("message").alias("size"))
+    return good[0].unionByName(good[1]).unionByName(bad).groupBy("outcome").agg(
+        F.count("*").alias("row_count"), F.sum("size").alias("bytes")
+    )

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CORRUPT = "corrupt_message"
+UNDECODABLE = "message"
+#: Where a message stood, as far as its source tells.
+PLACE = ("topic", "partition", "offset", "file_name")
 
 
 def message_stream(
@@ -42,6 +45,13 @@ def decode_messages(df: DataFrame, schema: T.StructType, keep: Sequence[str] = (
     return df.select(*keep, F.explode(F.array(parsed)).alias("_row")).select(*keep, "_row.*")
 
 
+def set_undecodable_apart(messages: DataFrame) -> DataFrame:
+    """Messages with ``message``: the bytes of a ``value`` that is not UTF-8, whose text is then null."""
+    broken = ~F.coalesce(F.is_valid_utf8("value"), F.lit(True))
+    marked = messages.withColumn(UNDECODABLE, F.when(broken, F.col("value").cast("binary")))
+    return marked.withColumn("value", F.when(~broken, F.col("value")))
+
+
 def split_corrupt(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Decoded rows without the corrupt marker, and the lines that did not decode."""
     good = decoded.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from wardflow.documents.flatten import Target, flatten, flatten_or_reject
 from wardflow.operators.quality import OUTCOME, has_missing
 from wardflow.sources.files import explode_arrays
-from wardflow.sources.messages import CORRUPT, decode_messages
+from wardflow.sources.messages import CORRUPT, PLACE, UNDECODABLE, decode_messages, set_undecodable_apart
 from wardflow.streaming.audit import count_by_file, record_load
 
 ONCE = {"availableNow": True}
@@ -141,20 +141,23 @@ def ingest_messages(
     """Decode message lines and part them into complete and incomplete rows, in one pass.
 
     Rows go to ``outcome=clean`` and ``outcome=missing`` below the batch's folder. Lines that do
-    not decode are kept with the incomplete ones. With ``audit``, the counts per file are noted
-    (``file_name`` must be a column of the messages).
+    not decode are kept with the incomplete ones; messages that are no text (not UTF-8) go to
+    ``outcome=undecodable`` with their bytes and, as far as the messages have these columns, their topic,
+    partition, offset and file. With ``audit``, the counts per file are noted (``file_name`` must be a
+    column of the messages); incomplete and undecodable ones are rejects.
     """
-    keep = [c for c in messages.columns if c == "file_name"]
+    keep = [c for c in PLACE if c in messages.columns and (c == "file_name" or c not in schema.names)]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        decoded = decode_messages(batch, schema, keep)
+        decoded = decode_messages(set_undecodable_apart(batch), schema, [*keep, UNDECODABLE])
         flag = has_missing(decoded, schema.names) | F.col(CORRUPT).isNotNull()
-        parted = decoded.withColumn(OUTCOME, F.when(flag, "missing").otherwise("clean"))
+        outcome = F.when(F.col(UNDECODABLE).isNotNull(), "undecodable").when(flag, "missing").otherwise("clean")
+        parted = decoded.withColumn(OUTCOME, outcome)
         target = f"{path}/batch_id={batch_id}"
         parted.write.mode("overwrite").partitionBy(OUTCOME).parquet(target)
         if audit:
             written = batch.sparkSession.read.parquet(target)
-            rejected = written.withColumn("_rejected", F.col(OUTCOME) == "missing")
+            rejected = written.withColumn("_rejected", F.col(OUTCOME) != "clean")
             if "file_name" not in keep:
                 rejected = rejected.withColumn("file_name", F.lit(None).cast("string"))
             record_load(count_by_file(rejected, "_rejected"), audit, table, batch_id)
@@ -176,6 +179,14 @@ def read_ingested(spark: SparkSession, path: str, schema: T.StructType, outcome:
     return rows.select(*schema.names)
 
 
+def read_undecodable(spark: SparkSession, path: str) -> DataFrame:
+    """The messages that ``ingest_messages`` could not read as text: their bytes and where they stood."""
+    kinds = {"topic": "string", "partition": "int", "offset": "long", "file_name": "string"}
+    full = ", ".join(f"`{c}` {kinds[c]}" for c in PLACE) + f", {UNDECODABLE} binary, batch_id long, {OUTCOME} string"
+    rows = spark.read.schema(full).parquet(path).filter(F.col(OUTCOME) == "undecodable")
+    return rows.select(*PLACE, UNDECODABLE)
+
+
 def for_each_batch(
     stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, trigger: dict
 ) -> StreamingQuery:
