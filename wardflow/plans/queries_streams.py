@@ -18,8 +18,10 @@ from wardflow.plans.queries_changes import (
 )
 from wardflow.plans.queries_rows import ROTATED_SQL
 from wardflow.plans.standins import with_tables
+from wardflow.schemas import CALLS, FEEDBACK, FEEDBACK_TABLE
 from wardflow.session import scratch_path
 from wardflow.sinks.files import write_resources
+from wardflow.sources.history import load_history
 from wardflow.sources.messages import encode_messages, message_stream
 from wardflow.streaming.audit import load_audit
 from wardflow.streaming.ingest import (
@@ -27,6 +29,7 @@ from wardflow.streaming.ingest import (
     document_stream,
     file_stream,
     ingest_messages,
+    load_files_stream,
     load_resource_stream,
     read_ingested,
     read_undecodable,
@@ -263,3 +266,37 @@ def stream_ingest_corrupt(spark, sf_dir):
     return good[0].unionByName(good[1]).unionByName(bad).groupBy("outcome").agg(
         F.count("*").alias("row_count"), F.sum("size").alias("bytes")
     )
+
+
+def _piped(spark, rows, schema, file_schema, table):
+    """Three Parquet files and one that is none, loaded two files at a time; rows, and files by status."""
+    folder, path, notes = (scratch_path(spark, name) for name in ("pipe", "piped", "history"))
+    rows.repartition(3).write.parquet(folder)
+    rows.limit(1).select(F.lit("no table").alias("value")).write.mode("append").text(folder)
+    load_files_stream(
+        spark, folder, schema, path, scratch_path(spark, "pipe-progress"), notes, table, file_schema, "part-*", files_per_batch=2
+    ).awaitTermination()
+    failed = load_history(spark, notes, table).filter("status = 'failed'").agg(F.count("*")).scalar()
+    return spark.read.schema(schema).parquet(path).withColumn("failed_files", failed)
+
+
+@query(
+    "stream_pipe_calls",
+    with_tables("calls", body="select call_id, call_duration, cast(1 as bigint) as failed_files from calls"),
+)
+def stream_pipe_calls(spark, sf_dir):
+    calls = d.calls(spark, sf_dir)
+    return _piped(spark, calls, CALLS, None, "calls").select("call_id", "call_duration", "failed_files")
+
+
+@query(
+    "stream_pipe_feedback",
+    """select 'FB-' || event_id as feedback_id, cast(trunc(value) as integer) as overall_score, cast(1 as bigint) as failed_files
+    from events""",
+)
+def stream_pipe_feedback(spark, sf_dir):
+    """Overall scores are numbers with a fraction in the files and whole ones in the table."""
+    events = d.table(spark, sf_dir, "events")
+    rows = events.select(F.concat(F.lit("FB-"), "event_id").alias("feedback_id"), F.col("value").alias("overall_score"))
+    loaded = _piped(spark, rows, FEEDBACK_TABLE, FEEDBACK, "feedback")
+    return loaded.select("feedback_id", "overall_score", "failed_files")

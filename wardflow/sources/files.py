@@ -30,26 +30,27 @@ def read_csv_text(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 
 def read_parquet_dir(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     schema: T.StructType | None = None,
     file_schema: T.StructType | None = None,
     glob: str = "*.parquet",
     skip_corrupt: bool = False,
 ) -> DataFrame:
-    """Parquet files whose names match ``glob``, below ``path``.
+    """Parquet files whose names match ``glob``, below ``path`` or several paths.
 
     With a schema, columns are found by name whatever their case and are null where the files lack
     them; no file is opened to find out what is in it. Where the files hold other types than wanted,
     ``file_schema`` says which, and the values are cast. With ``skip_corrupt`` what follows the first bad
     page of a file is left out, checksums of pages included; ``sources.history`` notes what that loses.
     """
+    paths = [path] if isinstance(path, str) else path
     reader = spark.read.options(pathGlobFilter=glob, recursiveFileLookup=True, ignoreCorruptFiles=skip_corrupt)
     if skip_corrupt:
         # Otherwise a damaged page can be taken for other values, or fail beyond the reader.
         reader = reader.option("parquet.page.verify-checksum.enabled", True)
     if schema is None and file_schema is None:
-        return reader.parquet(path)
-    found = reader.schema(file_schema or schema).parquet(path)
+        return reader.parquet(*paths)
+    found = reader.schema(file_schema or schema).parquet(*paths)
     return found if schema is None or file_schema is None else match_columns(found, schema)
 
 

@@ -27,7 +27,7 @@ HISTORY = (
 
 def load_files(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     schema: T.StructType,
     history: str,
     table: str,
@@ -57,7 +57,7 @@ def note_files(by_file: DataFrame, history: str, table: str) -> str:
     return run
 
 
-def declared_rows(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
+def declared_rows(spark: SparkSession, path: str | list[str], glob: str = "*.parquet") -> DataFrame:
     """``file_name, rows_expected`` from the files' footers. No page is read, as no column is asked for;
     files without a readable footer are left out."""
     found = read_parquet_dir(spark, path, T.StructType(), glob=glob, skip_corrupt=True)
@@ -68,7 +68,7 @@ def declared_rows(spark: SparkSession, path: str, glob: str = "*.parquet") -> Da
 _SMALL = 1 << 16
 
 
-def _by_file(spark: SparkSession, path: str, glob: str, held: DataFrame) -> DataFrame:
+def _by_file(spark: SparkSession, path: str | list[str], glob: str, held: DataFrame) -> DataFrame:
     read = held.groupBy(F.col("_file").alias("file_name")).agg(F.count("*").alias("read"))
     listed = _listed(spark, path, glob, F.col("length")).join(declared_rows(spark, path, glob), "file_name", "left")
     listed = listed.join(_listed(spark, path, glob, _holds_no_rows(), _SMALL), "file_name", "left").join(read, "file_name", "left")
@@ -79,7 +79,7 @@ def _by_file(spark: SparkSession, path: str, glob: str, held: DataFrame) -> Data
     return counted.withColumn("status", status.otherwise(PARTLY_LOADED))
 
 
-def _listed(spark: SparkSession, path: str, glob: str, what: Column, largest: int | None = None) -> DataFrame:
+def _listed(spark: SparkSession, path: str | list[str], glob: str, what: Column, largest: int | None = None) -> DataFrame:
     files = spark.read.format("binaryFile").options(pathGlobFilter=glob, recursiveFileLookup=True).load(path)
     files = files if largest is None else files.filter(F.col("length") <= largest)
     return files.select(F.col("_metadata.file_path").alias("file_name"), what)

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from wardflow.documents.flatten import Target, flatten, flatten_or_reject
 from wardflow.operators.quality import OUTCOME, has_missing
 from wardflow.sources.files import explode_arrays
+from wardflow.sources.history import load_files
 from wardflow.sources.messages import CORRUPT, PLACE, UNDECODABLE, decode_messages, set_undecodable_apart
 from wardflow.streaming.audit import count_by_file, record_load
 
@@ -69,6 +70,40 @@ def append_stream(
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start(path)
 
 
+def load_files_stream(
+    spark: SparkSession,
+    folder: str,
+    schema: T.StructType,
+    path: str,
+    checkpoint: str,
+    history: str,
+    table: str,
+    file_schema: T.StructType | None = None,
+    glob: str = "*.parquet",
+    files_per_batch: int = 1000,
+    archive: str | None = None,
+    trigger: dict = ONCE,
+) -> StreamingQuery:
+    """Load Parquet files as they arrive, by column name; a broken one fails alone.
+
+    The stream is one of file names. The files of a micro-batch, whose names the driver sees, are loaded as
+    ``sources.history.load_files`` loads them, so what cannot be read is left out and noted in ``history``, and
+    their rows replace the batch's folder below ``path``. With ``archive``, files are moved there by Spark
+    once a later micro-batch has begun.
+    """
+    names = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
+    names = names.options(pathGlobFilter=glob, recursiveFileLookup=True, maxFilesPerTrigger=files_per_batch)
+    if archive:
+        names = names.options(cleanSource="archive", sourceArchiveDir=archive)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        arrived = [r["path"] for r in batch.collect()]
+        rows = load_files(batch.sparkSession, arrived, schema, history, table, file_schema, glob)
+        rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return for_each_batch(names.load(folder).select("path"), write, checkpoint, trigger)
+
+
 def load_resource_stream(
     docs: DataFrame,
     spec: Sequence[Target],
