@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardflow.documents import build, specs
-from wardflow.documents.rules import FAIL, NONE, RULES, validate, write_checked
+from wardflow.documents.rules import FAIL, NONE, RULES, require_rows, validate, write_checked
 from wardflow.operators.merge import empty_like
 from wardflow.plans import jobs, reports
 from wardflow.plans import standins as d
@@ -14,7 +14,7 @@ from wardflow.plans.catalog import query
 from wardflow.plans.queries_documents import appointments, copies_sql, patients
 from wardflow.plans.standins import with_tables
 from wardflow.schemas import CALLS, FEEDBACK, FEEDBACK_SCORES, QUARANTINE
-from wardflow.session import scratch_path
+from wardflow.session import materialize, scratch_path
 from wardflow.sinks.files import (
     load_by_position,
     read_quarantine,
@@ -22,7 +22,7 @@ from wardflow.sinks.files import (
     write_resources,
 )
 from wardflow.sources import history
-from wardflow.sources.files import read_csv_dir, read_parquet_dir, unreadable_files
+from wardflow.sources.files import read_csv_dir, read_parquet_dir, read_resource, unreadable_files
 from wardflow.streaming.audit import load_audit, note_unreadable
 from wardflow.streaming.ingest import document_stream, load_resource_stream
 from wardflow.streaming.upsert import ProcessedTable
@@ -433,3 +433,57 @@ def load_history(spark, sf_dir):
     return noted.join(by_run, "run_id").groupBy(part, "status", "rows_expected").agg(
         F.count("*").cast("int").alias("notes"), F.every(sound & (F.col("all_read") == loaded)).alias("agrees")
     )
+
+
+@query("staged_load_times", "select count(*) as documents, true as just_now from customer")
+def staged_load_times(spark, sf_dir):
+    """Every staged document carries the time it was loaded."""
+    customers, store = d.table(spark, sf_dir, "customer"), scratch_path(spark, "store")
+    write_resources(customers.select(F.to_json(F.struct("c_custkey", "c_name")).alias("resource_json")), store, "Person")
+    began = spark.sql("select current_timestamp() as began").first()["began"]
+    fresh = F.col("load_timestamp").between(F.lit(began), F.current_timestamp())
+    docs = materialize(read_resource(spark, store, "Person"), "staged")
+    return docs.agg(F.count("*").alias("documents"), F.every(fresh).alias("just_now"))
+
+
+@query(
+    "empty_input_refused",
+    """
+    select 'all' as selection, count(*) = 0 as refused from customer
+    union all select 'rich', count(*) = 0 from customer where c_acctbal > 1e9""",
+)
+def empty_input_refused(spark, sf_dir):
+    """A job refuses a selection without rows, and takes one with rows."""
+    customers, refused = d.table(spark, sf_dir, "customer"), []
+    for name, rows in {"all": customers, "rich": customers.filter("c_acctbal > 1e9")}.items():
+        try:
+            require_rows(rows, name)
+        except ValueError as error:
+            refused += [name] if name in str(error) else []
+    named = customers.limit(1).select(F.explode(F.array(F.lit("all"), F.lit("rich"))).alias("selection"))
+    return named.withColumn("refused", F.col("selection").isin(refused))
+
+
+@query(
+    "processed_calls",
+    with_tables(
+        "calls",
+        body="""
+        select call_id, call_centre, resolution_status,
+          case when resolution_status = 'resolved' then call_duration + 100 else call_duration end as call_duration
+        from calls where resolution_status <> 'pending'
+        union all select 'N' || call_id, call_centre, 'new', call_duration from calls where call_duration = 7""",
+    ),
+)
+def processed_calls(spark, sf_dir):
+    """Calls in their processed table after a batch that updates, deletes and adds some."""
+    calls = d.calls(spark, sf_dir).select("call_id", "call_centre", "resolution_status", "call_duration")
+    table = ProcessedTable.create(calls, scratch_path(spark, "processed-calls"), ["call_id"])
+    jobs.refresh(table, calls)
+    status = F.col("resolution_status")
+    known = calls.filter(status.isin("resolved", "pending")).withColumn("action", F.when(status == "pending", "DELETE").otherwise("UPDATE"))
+    known = known.withColumn("call_duration", F.col("call_duration") + 100)
+    new = calls.filter("call_duration = 7").withColumn("call_id", F.concat(F.lit("N"), "call_id"))
+    new = new.withColumn("resolution_status", F.lit("new")).withColumn("action", F.lit("INSERT"))
+    table.apply(known.unionByName(new))
+    return table.read()
