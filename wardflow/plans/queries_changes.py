@@ -147,6 +147,19 @@ def processed_mixed_batch(spark, sf_dir):
     return found[0].unionByName(found[1])
 
 
+@query("merge_growing_buckets", f"with {TARGET_SQL}, {CHANGES_SQL} {merged_sql('changes')}")
+def merge_growing_buckets(spark, sf_dir):
+    """The merge into a table that comes in parts and splits its buckets at 2,000 rows on average."""
+    start = as_inserts(processed(spark, sf_dir))
+    path = scratch_path(spark, "growing")
+    table = ProcessedTable.create(processed(spark, sf_dir), path, ["o_orderkey"], buckets=1, bucket_rows=2000)
+    third = F.pmod(F.col("o_orderkey"), F.lit(3))
+    for part in range(3):
+        table.apply(start.filter(third == part))
+    table.apply(changes(spark, sf_dir))
+    return table.read()
+
+
 @query(
     "latest_versions",
     f"with {CHANGES_SQL}, {VERSIONED_SQL}, {_NEWEST} select * from newest",
