@@ -28,6 +28,18 @@ def skip_processed(df: DataFrame, done: DataFrame, key: str) -> DataFrame:
     return df.join(done.select(key), key, "left_anti")
 
 
+def bucketed_table(df: DataFrame, name: str, path: str, key: str, buckets: int) -> DataFrame:
+    """Add ``df`` to the table ``name``, whose files below ``path`` are parted by ``key``; returns the table.
+
+    Tables with as many buckets by keys of one type are joined bucket by bucket, without a shuffle of
+    either, as ``skip_processed`` does with a done list and stored rows that are both kept so. Rows without
+    a key lie in one bucket. Only what is added is shuffled; it brings one file a bucket.
+    """
+    parted = df.repartition(buckets, key)
+    parted.write.mode("append").bucketBy(buckets, key).option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def null_key_spread(df: DataFrame, keys: Sequence[str]) -> Column:
     """0 for rows with a full key, else a hash of the whole row.
 

@@ -17,8 +17,9 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wardflow.operators.keys import latest_per_key, null_key_spread
 
@@ -26,6 +27,9 @@ INSERT = "INSERT"
 UPDATE = "UPDATE"
 DELETE = "DELETE"
 
+BUCKET = "_bucket"
+KEYLESS = -1
+
 
 def merge_changes(
     target: DataFrame,
@@ -99,6 +103,66 @@ def snapshot_changes(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> Dat
     )
 
 
+def write_snapshot(df: DataFrame, path: str, keys: Sequence[str], buckets: int) -> None:
+    """Keep a snapshot in buckets by key, with a digest of each bucket.
+
+    The digest depends on the rows, not on their order. Rows without a full key are a bucket of their
+    own. More buckets let ``kept_snapshot_changes`` read less. The digests are written last, so a snapshot
+    that was not finished has none and cannot be read.
+    """
+    absent = reduce(or_, [F.col(key).isNull() for key in keys])
+    bucket = F.when(absent, F.lit(KEYLESS)).otherwise(F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+    parted = df.withColumn(BUCKET, bucket).hint("rebalance", BUCKET)
+    parted.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{path}/rows")
+    kept = _kept_rows(df.sparkSession, path, df.schema)
+    contents = [_content(field) for field in df.schema]
+    digests = kept.groupBy(BUCKET).agg(
+        F.count("*").alias("n"),
+        F.sum(F.xxhash64(*contents).cast("decimal(20,0)")).alias("total"),
+        F.bit_xor(F.xxhash64(F.lit("again"), *contents)).alias("mixed"),
+    )
+    digests.write.mode("overwrite").parquet(f"{path}/digests")
+
+
+def kept_snapshot_changes(
+    spark: SparkSession, old: str, new: str, schema: T.StructType, keys: Sequence[str]
+) -> DataFrame:
+    """``snapshot_changes`` of two kept snapshots with equally many buckets; only buckets whose digests
+    differ are read, and that without a full key, whose rows match nothing.
+
+    Two buckets of equal rows have equal digests; different ones agree in a count, a sum and an
+    exclusive or of 64-bit hashes by chance only.
+    """
+    columns = "n long, total decimal(30,0), mixed long"
+    before, after = (
+        spark.read.schema(f"{BUCKET} int, {columns}")
+        .parquet(f"{path}/digests")
+        .select(BUCKET, F.struct("n", "total", "mixed").alias(name))
+        for path, name in ((old, "a"), (new, "b"))
+    )
+    differ = before.join(after, BUCKET, "full_outer").filter(
+        ~F.col("a").eqNullSafe(F.col("b")) | (F.col(BUCKET) == KEYLESS)
+    )
+    # As many numbers as buckets at most.
+    changed = [r[BUCKET] for r in differ.select(BUCKET).collect()]
+    sides = [_kept_rows(spark, p, schema).filter(F.col(BUCKET).isin(*changed)).drop(BUCKET) for p in (old, new)]
+    return snapshot_changes(*sides, keys)
+
+
+def _kept_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    kept = T.StructType([*schema, T.StructField(BUCKET, T.IntegerType())])
+    return spark.read.schema(kept).parquet(f"{path}/rows")
+
+
+def _content(field: T.StructField) -> Column:
+    """A value that tells nulls from gaps and nested values apart; hashes alone pass over nulls."""
+    value = F.col(field.name)
+    if isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType, T.VariantType)):
+        options = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
+        value = F.to_json(value, options)
+    return F.struct(value.isNull().alias("gap"), value.alias("value"))
+
+
 def _differences(frame: DataFrame, keys: Sequence[str]) -> list[Column]:
     compared = []
     for field in frame.schema:

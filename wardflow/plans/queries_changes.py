@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wardflow.operators.keys import latest_per_key
-from wardflow.operators.merge import as_inserts, merge_changes, put_resources, snapshot_changes
+from wardflow.operators.merge import (
+    as_inserts,
+    kept_snapshot_changes,
+    merge_changes,
+    put_resources,
+    snapshot_changes,
+    write_snapshot,
+)
 from wardflow.plans import standins as d
 from wardflow.plans.catalog import query
 from wardflow.session import scratch_path
@@ -199,9 +206,7 @@ def put_last_arrival(spark, sf_dir):
     return read_resource(spark, store, "Event").select(body).select("d.*")
 
 
-@query(
-    "snapshot_changes",
-    """
+_SNAPSHOT_SQL = """
     with old as (select o_orderkey, o_custkey, o_totalprice from orders where o_orderstatus <> 'P'),
     new as (select o_orderkey, o_custkey,
         o_totalprice + case when o_orderpriority = '1-URGENT' then 1 else 0 end as o_totalprice
@@ -212,9 +217,24 @@ def put_last_arrival(spark, sf_dir):
       where o_orderkey not in (select o_orderkey from old)
     union all select n.o_orderkey, n.o_custkey, n.o_totalprice, 'UPDATE'
       from new n join old o on n.o_orderkey = o.o_orderkey
-      where n.o_custkey <> o.o_custkey or n.o_totalprice <> o.o_totalprice""",
-)
+      where n.o_custkey <> o.o_custkey or n.o_totalprice <> o.o_totalprice"""
+
+
+@query("snapshot_changes", _SNAPSHOT_SQL)
 def snapshot_changes_query(spark, sf_dir):
+    return snapshot_changes(*_snapshots(spark, sf_dir), ["o_orderkey"])
+
+
+@query("snapshot_changes_pruned", _SNAPSHOT_SQL)
+def snapshot_changes_pruned(spark, sf_dir):
+    """The same from snapshots kept with digests."""
+    snapshots, paths = _snapshots(spark, sf_dir), [scratch_path(spark, "snapshot") for _ in range(2)]
+    for rows, path in zip(snapshots, paths):
+        write_snapshot(rows, path, ["o_orderkey"], 32)
+    return kept_snapshot_changes(spark, *paths, snapshots[0].schema, ["o_orderkey"])
+
+
+def _snapshots(spark, sf_dir):
     orders = d.table(spark, sf_dir, "orders")
     rise = F.when(F.col("o_orderpriority") == "1-URGENT", 1).otherwise(0)
     old = orders.filter(F.col("o_orderstatus") != "P")
@@ -222,4 +242,4 @@ def snapshot_changes_query(spark, sf_dir):
         "o_totalprice", F.col("o_totalprice") + rise
     )
     names = ["o_orderkey", "o_custkey", "o_totalprice"]
-    return snapshot_changes(old.select(*names), new.select(*names), ["o_orderkey"])
+    return old.select(*names), new.select(*names)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardflow.operators.keys import skip_processed
+from wardflow.operators.keys import bucketed_table, skip_processed
 from wardflow.operators.merge import as_inserts, merge_changes
 from wardflow.operators.ordinals import fan_out, micro_batch_ids, rotation_windows
 from wardflow.operators.quality import (
@@ -179,16 +179,36 @@ def stage_by_path(spark, sf_dir):
     return from_folder(pages.select("page_id", F.col("url").alias("folder_name")), "/en")
 
 
-@query(
-    "skip_processed",
-    """
+_SKIPPED_SQL = """
     select o_orderkey, o_custkey, o_totalprice from orders
-    where not exists (select 1 from lineitem where l_orderkey = o_orderkey and l_returnflag = 'R')""",
-)
-def skip_processed_query(spark, sf_dir):
+    where not exists (select 1 from lineitem where l_orderkey = o_orderkey and l_returnflag = 'R')"""
+
+
+def _stored_and_done(spark, sf_dir):
     orders = d.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     returned = d.table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R")
-    return skip_processed(orders, returned.select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey")
+    return orders, returned.select(F.col("l_orderkey").alias("o_orderkey"))
+
+
+@query("skip_processed", _SKIPPED_SQL)
+def skip_processed_query(spark, sf_dir):
+    return skip_processed(*_stored_and_done(spark, sf_dir), "o_orderkey")
+
+
+@query("skip_processed_bucketed", _SKIPPED_SQL)
+def skip_processed_bucketed(spark, sf_dir):
+    """The same with rows and done list kept in buckets, the list added to in two runs."""
+    orders, done = _stored_and_done(spark, sf_dir)
+
+    def kept(rows, label, *parts):
+        path = scratch_path(spark, label)
+        name = path.rsplit("/", 1)[1].replace("-", "_")
+        for part in parts:
+            table = bucketed_table(rows.filter(part), name, path, "o_orderkey", 32)
+        return table
+
+    late = F.col("o_orderkey") % 4 == 0
+    return skip_processed(kept(orders, "stored", F.lit(True)), kept(done, "done", ~late, late), "o_orderkey")
 
 
 @query("empty_clone", "select o_orderkey, o_custkey, o_totalprice from orders")

@@ -234,6 +234,21 @@ def staged_documents(spark, sf_dir):
     )
 
 
+@query("array_file_streamed", "select o_orderkey, o_orderpriority, o_totalprice from orders")
+def array_file_streamed(spark, sf_dir):
+    """Orders in files of one array each, laid out over several lines, read document by document."""
+    from wardflow.sources.arrays import read_array_files
+
+    note = F.lit('a } brace, a "quote" and a \\').alias("note")
+    orders = d.table(spark, sf_dir, "orders").withColumn("part", F.expr("o_orderkey div 20000"))
+    fields = F.struct("o_orderkey", "o_orderpriority", "o_totalprice", note)
+    arrays = orders.groupBy("part").agg(F.to_json(F.collect_list(fields), {"pretty": "true"}).alias("value"))
+    path = scratch_path(spark, "array-files")
+    arrays.write.partitionBy("part").text(path)
+    body = F.from_json("raw_data", "o_orderkey long, o_orderpriority string, o_totalprice double")
+    return read_array_files(spark, path).select(body.alias("d")).select("d.*")
+
+
 @query("stream_rotated_batches", ROTATED_SQL)
 def stream_rotated_batches(spark, sf_dir):
     """Events as one consumer batches them as they arrive: the numbers of the batch form."""
