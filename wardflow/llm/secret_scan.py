@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardflow.session import materialize
+
 ASSIGN, ACCESS, HEX, OWNED = "assign", "access", "hex", "owned"
 #: In the order in which spans with one start are listed.
 KINDS = (ASSIGN, ACCESS, HEX, OWNED)
@@ -41,27 +43,24 @@ def _good(kind: str, value: Column) -> Column:
 def _found(text: Column, kind: str) -> Column:
     """Leftmost non-overlapping matches as kind, rank, start, end (code points) and value.
 
-    Matches are taken in turn from where the last one ended, each with the text in front of it, so
-    that lengths add up to places.
+    The lengths of matches, and of what lies between them, add up to places.
     """
     needed, pattern = PATTERNS[kind]
-    whole = rf"(?s)\G(.*?)({pattern})"
-    parts = F.arrays_zip(
-        F.regexp_extract_all(text, F.lit(whole), F.lit(1)).alias("gap"),
-        F.regexp_extract_all(text, F.lit(whole), F.lit(2)).alias("match"),
-        F.regexp_extract_all(text, F.lit(whole), F.lit(3)).alias("value"),
-    )
+    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    gaps = F.slice(F.split(text, pattern, -1), 1, F.size(matches))
+    parts = F.arrays_zip(gaps.alias("gap"), matches.alias("match"))
     span = "struct<kind:string,rank:int,start:int,end:int,value:string>"
     start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{span}>").alias("spans"))
 
     def add(state: Column, part: Column) -> Column:
         begin = state["at"] + F.length(part["gap"])
         end = begin + F.length(part["match"])
+        value = F.regexp_extract(part["match"], pattern, 1)
         one = F.struct(
             F.lit(kind).alias("kind"), F.lit(KINDS.index(kind)).alias("rank"),
-            begin.alias("start"), end.alias("end"), part["value"].alias("value"),
+            begin.alias("start"), end.alias("end"), value.alias("value"),
         )
-        kept = F.when(_good(kind, part["value"]), F.concat(state["spans"], F.array(one)))
+        kept = F.when(_good(kind, value), F.concat(state["spans"], F.array(one)))
         return F.struct(end.alias("at"), kept.otherwise(state["spans"]).alias("spans"))
 
     spans = F.aggregate(parts, start, add, lambda state: state["spans"])
@@ -86,18 +85,22 @@ def ownership(found: DataFrame, repo: str, owner: str) -> DataFrame:
     """Per secret the distinct repositories and owners that hold it.
 
     Counted in three steps that each sum up in the map tasks, so a secret found in a third of all
-    documents costs a row per task and owner. A null repository or owner counts as one of its own.
+    documents costs a row per task and owner. A null repository counts as one of its own. A null owner is
+    unknown: it is none more, so that nobody's secret is taken for an example because of it.
     """
     once = found.groupBy("secret", owner, repo).agg(F.lit(1).alias("one"))
     repos = once.groupBy("secret", owner).agg(F.count("*").alias("repos"))
-    return repos.groupBy("secret").agg(F.sum("repos").alias("n_repos"), F.count("*").alias("n_owners"))
+    return repos.groupBy("secret").agg(F.sum("repos").alias("n_repos"), F.count(owner).alias("n_owners"))
 
 
 def scan(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "doc_id", owner_col: str = "source"
 ) -> DataFrame:
     """A row per reported span: ``doc_id``, ``print`` (the text's hash), kind, rank, start, end, secret,
-    ``n_repos``, ``n_owners`` and ``example``. Rows that repeat id, text, repository and owner count once."""
+    ``n_repos``, ``n_owners`` and ``example``. Rows that repeat id, text, repository and owner count once.
+
+    Texts are searched once; the candidates, a few rows per text, are written and counted from there.
+    """
     rows = docs.select(
         F.col(f"`{id_col}`").alias("doc_id"),
         F.xxhash64(F.col(f"`{text_col}`")).alias("print"),
@@ -105,7 +108,7 @@ def scan(
         F.col(f"`{owner_col}`").alias("owner"),
         F.col(f"`{text_col}`").alias("text"),
     )
-    found = candidates(rows)
+    found = materialize(candidates(rows), "secrets")
     held = found.join(ownership(found, "repo", "owner"), "secret")
     example = F.col("n_owners") >= EXAMPLE_OWNERS
     return (
@@ -151,32 +154,34 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo
 
 #: The same from DuckDB.
 SQL = r"""
-with pieces as (
-    select doc_id, source, 'assign' as kind, 0 as rank,
+with docs as materialized (
+    select row_number() over () as row_id, doc_id, source, text from documents
+), pieces as (
+    select row_id, source, 'assign' as kind, 0 as rank,
         regexp_extract_all(text, '(?s)(.*?)((?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+))', 1) as gaps,
         regexp_extract_all(text, '(?s)(.*?)((?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+))', 2) as hits,
         regexp_extract_all(text, '(?s)(.*?)((?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+))', 3) as vals
-    from documents
+    from docs
     union all
-    select doc_id, source, 'access', 1, regexp_extract_all(text, '(?s)(.*?)(AKIA[A-Z0-9]+)', 1),
+    select row_id, source, 'access', 1, regexp_extract_all(text, '(?s)(.*?)(AKIA[A-Z0-9]+)', 1),
         regexp_extract_all(text, '(?s)(.*?)(AKIA[A-Z0-9]+)', 2), regexp_extract_all(text, '(?s)(.*?)(AKIA[A-Z0-9]+)', 2)
-    from documents
+    from docs
     union all
-    select doc_id, source, 'hex', 2, regexp_extract_all(text, '(?s)(.*?)([0-9a-f]+)', 1),
+    select row_id, source, 'hex', 2, regexp_extract_all(text, '(?s)(.*?)([0-9a-f]+)', 1),
         regexp_extract_all(text, '(?s)(.*?)([0-9a-f]+)', 2), regexp_extract_all(text, '(?s)(.*?)([0-9a-f]+)', 2)
-    from documents
+    from docs
     union all
-    select doc_id, source, 'owned', 3, regexp_extract_all(text, '(?s)(.*?)([A-Za-z0-9+/_=-]+)', 1),
+    select row_id, source, 'owned', 3, regexp_extract_all(text, '(?s)(.*?)([A-Za-z0-9+/_=-]+)', 1),
         regexp_extract_all(text, '(?s)(.*?)([A-Za-z0-9+/_=-]+)', 2), regexp_extract_all(text, '(?s)(.*?)([A-Za-z0-9+/_=-]+)', 2)
-    from documents
+    from docs
 ), steps as (
-    select doc_id, source, kind, rank, unnest(gaps) as gap, unnest(hits) as hit, unnest(vals) as val,
+    select row_id, source, kind, rank, unnest(gaps) as gap, unnest(hits) as hit, unnest(vals) as val,
         generate_subscripts(hits, 1) as k
     from pieces
 ), placed as (
-    select *, sum(length(gap) + length(hit)) over (partition by doc_id, kind order by k) as stop from steps
+    select *, sum(length(gap) + length(hit)) over (partition by row_id, kind order by k) as stop from steps
 ), found as (
-    select doc_id, source, kind, rank, stop - length(hit) as start, stop, val from placed
+    select row_id, source, kind, rank, stop - length(hit) as start, stop, val from placed
     where case kind when 'assign' then length(val) >= 12 when 'access' then length(hit) >= 18
         when 'hex' then length(hit) >= 16
         else length(hit) >= 24 and regexp_matches(hit, '[0-9]') and regexp_matches(hit, '[a-z]')
@@ -187,15 +192,15 @@ with pieces as (
     select f.*, example, kind || ':' || start::bigint || ':' || stop::bigint as name
     from found f join owners using (val) where kind <> 'owned' or not example
 ), per_doc as (
-    select doc_id, count(*) filter (kind = 'assign') as n_assign, count(*) filter (kind = 'access') as n_access,
+    select row_id, count(*) filter (kind = 'assign') as n_assign, count(*) filter (kind = 'access') as n_access,
         count(*) filter (kind = 'hex') as n_hex,
         coalesce(string_agg(name, ',' order by start, rank) filter (kind <> 'owned'), '') as base,
         string_agg(name, ',' order by start, rank) as spans,
         count(*) filter (not example) as n_live, count(*) filter (example) as n_example
-    from reported group by doc_id
+    from reported group by row_id
 )
 select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
     sha256(coalesce(base, '')) as base_sha256, coalesce(per_doc.spans, '') as spans,
     coalesce(n_live, 0) as n_live, coalesce(n_example, 0) as n_example
-from documents left join per_doc using (doc_id)
+from docs left join per_doc using (row_id)
 """
