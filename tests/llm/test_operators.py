@@ -144,7 +144,8 @@ def test_junk_is_rejected_and_prose_kept(spark, given):
 
     model = Path(public_tokenizers.path("piece_bpe_32k.model")).read_bytes()
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
-    found = fertility.fertility_rules(given, model).join(labels, "doc_id").filter("not base_failed")
+    ranks = Path(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")).read_bytes()
+    found = fertility.fertility_rules(given, model, ranks=ranks).join(labels, "doc_id").filter("not base_failed")
     shares = found.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("kept"), F.count("*").alias("n"))
     by_quality = {r.quality: r.kept for r in shares.collect()}
     assert by_quality[1] > 0.98 and by_quality[0] < 0.5

@@ -1,14 +1,18 @@
-"""Quality rules from what a public vocabulary makes of a text: tokeniser fertility.
+"""Quality rules from what public vocabularies make of a text: tokeniser fertility.
 
-Every distinct word is tokenised once per worker. A document is measured by letters and digits per
+Every distinct word is tokenised once per worker and vocabulary. A document is measured by letters and digits per
 token (other marks cost tokens and add none), by the share of tokens that are single bytes (what the
 vocabulary has no piece for) and by the evenness of its tokens (their entropy over that of as many
 different tokens). A language, or a script where the language is not known, has a band for each, taken
-from the quartiles of all its documents; documents outside one are rejected.
+from the exact quartiles of all its documents; documents outside one are rejected.
 """
 
 from __future__ import annotations
 
+import base64
+from collections.abc import Callable
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -30,7 +34,13 @@ ROOM = {"chars_per_token": 0.15, "byte_share": 0.05, "evenness": 0.10}
 SHORT_ROOM = 1.5
 
 BASE = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint"
-MEASURES = "n_tokens bigint, chars_per_token double, byte_share double, evenness double, script string"
+MEASURES = {"n_tokens": "bigint", "chars_per_token": "double", "byte_share": "double", "evenness": "double"}
+#: In front of the measures by the second vocabulary.
+SECOND = "multi_"
+#: Measures are rounded to so many places for the quartiles, which bounds how many values there are.
+PLACES = 4
+#: Words remembered per vocabulary and task.
+REMEMBERED = 600_000
 
 #: Leading UTF-8 bytes of letters, by script.
 SCRIPTS = {
@@ -94,41 +104,82 @@ def base_counts(flat: Texts, words: tuple[np.ndarray, np.ndarray, np.ndarray]) -
     }
 
 
+@dataclass
+class Vocabulary:
+    """How words become ids, how many ids there are, and which stand for single bytes of other scripts."""
+
+    encode: Callable[[list[str]], list[list[int]]]
+    size: int
+    is_byte: np.ndarray
+
+
+def piece_vocabulary(model: bytes) -> Vocabulary:
+    import sentencepiece
+
+    pieces = sentencepiece.SentencePieceProcessor(model_proto=model)
+    size = pieces.get_piece_size()
+    is_byte = np.array([pieces.is_byte(k) for k in range(size)])
+    return Vocabulary(lambda words: pieces.encode(words, num_threads=1), size, is_byte)
+
+
+def rank_vocabulary(ranks: bytes) -> Vocabulary:
+    """From a file of byte strings and ranks; words are taken with a blank in front, as within a text."""
+    import public_tokenizers
+    import tiktoken
+
+    table = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, ranks.splitlines())}
+    coder = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
+    is_byte = np.zeros(max(table.values()) + 1, bool)
+    is_byte[[rank for token, rank in table.items() if len(token) == 1 and token[0] >= 0x80]] = True
+    return Vocabulary(
+        lambda words: [coder.encode_ordinary(f" {word}") for word in words], len(is_byte), is_byte
+    )
+
+
 class Measures:
     """Base counts and fertility of a slice of texts; one per task."""
 
-    def __init__(self, model: bytes):
-        import sentencepiece
-
-        self.model = sentencepiece.SentencePieceProcessor(model_proto=model)
-        self.size = self.model.get_piece_size()
-        self.is_byte = np.array([self.model.is_byte(k) for k in range(self.size)])
-        self.coder = PieceCoder(lambda words: self.model.encode(words, num_threads=1))
+    def __init__(self, model: bytes, ranks: bytes | None = None):
+        self.vocabularies = {"": piece_vocabulary(model)}
+        if ranks is not None:
+            self.vocabularies[SECOND] = rank_vocabulary(ranks)
+        self.coders = {name: PieceCoder(v.encode, REMEMBERED) for name, v in self.vocabularies.items()}
 
     def __call__(self, texts: pa.Array) -> dict[str, pa.Array]:
         flat = Texts(texts)
-        owner, start, end = words = flat.words()
+        words = flat.words()
         found = base_counts(flat, words)
-        where = self.coder.places(flat, start, end)
-        sizes = self.coder.sizes[where]
-        ids = self.coder.ids[ragged(self.coder.starts[where], sizes)]
-        text_of = np.repeat(owner, sizes)
-        tokens = np.bincount(text_of, minlength=flat.count)
-        in_bytes = np.bincount(text_of[self.is_byte[ids]], minlength=flat.count)
-        found |= {"n_tokens": tokens, "chars_per_token": _per_text(_IS_LETTER[flat.data], flat.starts) / np.maximum(tokens, 1)}
-        found |= {"byte_share": in_bytes / np.maximum(tokens, 1), "evenness": self._evenness(text_of, ids, tokens)}
+        for name in self.vocabularies:
+            found |= {f"{name}{k}": v for k, v in self._fertility(name, flat, words).items()}
         arrays = {k: pa.array(v, pa.float64() if v.dtype.kind == "f" else pa.int64()) for k, v in found.items()}
         arrays["script"] = pa.array(self._scripts(flat), pa.string())
         return arrays
 
-    def _evenness(self, text_of: np.ndarray, ids: np.ndarray, tokens: np.ndarray) -> np.ndarray:
-        keys = np.sort(text_of * self.size + ids)
+    def _fertility(self, name: str, flat: Texts, words: tuple) -> dict[str, np.ndarray]:
+        owner, start, end = words
+        vocabulary, coder = self.vocabularies[name], self.coders[name]
+        where = coder.places(flat, start, end)
+        sizes = coder.sizes[where]
+        ids = coder.ids[ragged(coder.starts[where], sizes)]
+        text_of = np.repeat(owner, sizes)
+        tokens = np.bincount(text_of, minlength=flat.count)
+        in_bytes = np.bincount(text_of[vocabulary.is_byte[ids]], minlength=flat.count)
+        return {
+            "n_tokens": tokens,
+            "chars_per_token": _per_text(_IS_LETTER[flat.data], flat.starts) / np.maximum(tokens, 1),
+            "byte_share": in_bytes / np.maximum(tokens, 1),
+            "evenness": self._evenness(text_of, ids, tokens, vocabulary.size),
+        }
+
+    @staticmethod
+    def _evenness(text_of: np.ndarray, ids: np.ndarray, tokens: np.ndarray, size: int) -> np.ndarray:
+        keys = np.sort(text_of * size + ids)
         heads = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else keys
         counts = np.diff(heads, append=len(keys))
         weighted = np.bincount(
-            (keys[heads] // self.size).astype(np.int64), weights=counts * np.log2(np.maximum(counts, 1)), minlength=len(tokens)
+            (keys[heads] // size).astype(np.int64), weights=counts * np.log2(np.maximum(counts, 1)), minlength=len(tokens)
         )
-        most = np.log2(np.clip(tokens, 2, self.size))
+        most = np.log2(np.clip(tokens, 2, size))
         entropy = np.log2(np.maximum(tokens, 1)) - weighted / np.maximum(tokens, 1)
         return np.where(tokens > 1, entropy / most, 1.0)
 
@@ -142,10 +193,14 @@ class Measures:
         return [names[k] if row[k] else None for row, k in zip(counts, counts.argmax(axis=1))]
 
 
-def measure(docs: DataFrame, model: bytes, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+def measure(
+    docs: DataFrame, model: bytes, text_col: str = "text", keep: list[str] | None = None, ranks: bytes | None = None
+) -> DataFrame:
     """``docs`` with base counts and measures of whole texts (null as empty: no words, evenness 1)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    return map_texts(docs, text_col, f"{BASE}, {MEASURES}", lambda: Measures(shared.value), keep)
+    shared = docs.sparkSession.sparkContext.broadcast((model, ranks))
+    prefixes = [""] if ranks is None else ["", SECOND]
+    columns = ", ".join(f"{prefix}{name} {kind}" for prefix in prefixes for name, kind in MEASURES.items())
+    return map_texts(docs, text_col, f"{BASE}, {columns}, script string", lambda: Measures(*shared.value), keep)
 
 
 def base_failed() -> Column:
@@ -153,23 +208,45 @@ def base_failed() -> Column:
     return few | (F.col("n_repeat_words") * 100 > F.col("n_words") * MOST_REPEATED_PERCENT)
 
 
+def _prefixes(measured: DataFrame) -> list[str]:
+    return [prefix for prefix in ("", SECOND) if f"{prefix}n_tokens" in measured.columns]
+
+
 def bands(measured: DataFrame) -> DataFrame:
-    """Per group the quartiles of every measure, over all documents that the base rules pass."""
-    quartiles = [
-        F.percentile_approx(name, [0.25, 0.5, 0.75], 2000).alias(f"{name}_band") for name in ROOM
-    ]
-    return measured.filter(~base_failed()).groupBy("band_group").agg(*quartiles)
+    """Per group the quartiles of every measure, over all documents that the base rules pass.
+
+    They are exact for the measures as rounded to ``PLACES``: equal values are counted first, so a group
+    is as many rows as it has different values, and the result does not depend on how rows lie.
+    """
+    names = [f"{prefix}{name}" for prefix in _prefixes(measured) for name in ROOM]
+    values = F.array(*[F.struct(F.lit(n).alias("measure"), F.round(n, PLACES).alias("value")) for n in names])
+    opened = measured.filter(~base_failed()).select("band_group", F.explode(values).alias("m"))
+    counted = opened.groupBy("band_group", "m.measure", "m.value").agg(F.count("*").alias("n"))
+
+    def quartiles(name: str) -> Column:
+        value = F.when(F.col("measure") == name, F.col("value"))
+        return F.percentile(value, [0.25, 0.5, 0.75], F.col("n")).alias(f"{name}_band")
+
+    return counted.groupBy("band_group").agg(*[quartiles(name) for name in names])
 
 
 def fertility_rules(
-    docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"
+    docs: DataFrame,
+    model: bytes,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    lang_col: str = "lang",
+    ranks: bytes | None = None,
 ) -> DataFrame:
     """One row per row of ``docs``: id, base counts, measures, ``base_failed``, the ``rejected_by`` list of
     measures outside their band, and ``kept``.
 
+    ``model`` is a piece vocabulary's file, ``ranks`` that of a second one, whose measures have bands of
+    their own and names beginning with ``multi_``; a document must meet all.
+
     The group of a document is its language or, where that is null, its script (a text without letters
     has none and meets no band). Groups without a document that passes the base rules have no band.
-    Repeated rows each get their result. A group costs one row of quartile summaries per task, whatever
+    Repeated rows each get their result. A group costs one row per different value and task, whatever
     its size.
     """
     columns = docs.select(
@@ -178,7 +255,7 @@ def fertility_rules(
         F.col(f"`{text_col}`").alias("text"),
     )
     group = F.coalesce("band_lang", F.concat(F.lit("script "), F.col("script")))
-    measured = measure(columns, model, keep=["doc_id", "band_lang"]).withColumn("band_group", group)
+    measured = measure(columns, model, keep=["doc_id", "band_lang"], ranks=ranks).withColumn("band_group", group)
     measured = materialize(measured.drop("band_lang"), "fertility")
     return judged(measured, bands(measured))
 
@@ -187,24 +264,30 @@ def judged(measured: DataFrame, limits: DataFrame) -> DataFrame:
     limits = limits.withColumnRenamed("band_group", "limit_group")
     # One row per language or script, however many documents there are.
     both = measured.join(F.broadcast(limits), F.col("band_group") == F.col("limit_group"), "left")
-    outside = []
-    for name, room in ROOM.items():
-        low, mid, high = (F.col(f"{name}_band")[k] for k in range(3))
-        least = F.lit(room) * (mid if name == "chars_per_token" else F.lit(1.0))
-        far = F.greatest((high - low) * REACH, least)
-        far = far * (1 + SHORT_ROOM / F.sqrt(F.greatest("n_tokens", F.lit(1))) * 4)
-        off = F.abs(F.col(name) - mid) > far
-        if name == "byte_share":
-            off = F.col(name) - mid > far
-        if name == "evenness":
-            off = mid - F.col(name) > far
-        outside.append(F.when(off, F.lit(name)))
+    prefixes = _prefixes(measured)
+    outside = [_outside(prefix, name) for prefix in prefixes for name in ROOM]
     rejected = F.filter(F.array(*outside), lambda name: name.isNotNull())
     failed = base_failed()
     return both.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"),
         (~failed & (F.size(rejected) == 0)).alias("kept"),
-        "n_tokens", "chars_per_token", "byte_share", "evenness", "band_group",
+        *[f"{prefix}{name}" for prefix in prefixes for name in MEASURES],
+        "band_group",
         rejected.alias("rejected_by"),
     )
+
+
+def _outside(prefix: str, name: str) -> Column:
+    """The measure's name where it lies outside its band."""
+    value = F.col(f"{prefix}{name}")
+    low, mid, high = (F.col(f"{prefix}{name}_band")[k] for k in range(3))
+    least = F.lit(ROOM[name]) * (mid if name == "chars_per_token" else F.lit(1.0))
+    far = F.greatest((high - low) * REACH, least)
+    far = far * (1 + SHORT_ROOM / F.sqrt(F.greatest(f"{prefix}n_tokens", F.lit(1))) * 4)
+    off = F.abs(value - mid) > far
+    if name == "byte_share":
+        off = value - mid > far
+    if name == "evenness":
+        off = mid - value > far
+    return F.when(off, F.lit(f"{prefix}{name}"))

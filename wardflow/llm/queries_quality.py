@@ -14,7 +14,8 @@ from wardflow.llm.common import documents
 
 def op4_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = Path(public_tokenizers.path("piece_bpe_32k.model")).read_bytes()
-    return fertility.fertility_rules(documents(spark, sf_dir), model)
+    ranks = Path(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")).read_bytes()
+    return fertility.fertility_rules(documents(spark, sf_dir), model, ranks=ranks)
 
 
 def held_out() -> Column:
