@@ -87,14 +87,6 @@ def test_verdicts_of_whole_tables(spark, tables, odd_dir):
         assert row.kept == (not row.base_failed and not names)
 
 
-def test_words_given_together_keep_their_ids():
-    encode, _, _ = vocabularies()["multi_"]
-    model = Path(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")).read_bytes()
-    words = ["plain", "x", "it's", "'s", "a\u00a0b", "\u3000", "end\u00a0", "\u00a0start", "\x1codd", "\x85", "日本語", "🙂🙂", "12ab", "--", "é"]
-    words = words * 3 + [f"w{k}é{k * k}" for k in range(5000)] + ["\u2028", "z\u200b", "\ufeffq", "\x00", "\x1f", "a\u180eb"]
-    assert fertility.rank_vocabulary(model).encode(words) == [encode(word) for word in words]
-
-
 def test_bands_do_not_depend_on_how_rows_lie(spark):
     rows = [(f"g{k % 3}", 50, 0, 60, (k * 37 % 1000) / 997, 0.1, 0.5 + k % 7 / 100) for k in range(5000)]
     names = "band_group string, n_words long, n_repeat_words long, n_tokens long, chars_per_token double, byte_share double, evenness double"

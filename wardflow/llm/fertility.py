@@ -41,8 +41,6 @@ SECOND = "multi_"
 PLACES = 4
 #: Words remembered per vocabulary and task.
 REMEMBERED = 600_000
-#: Words given to the second vocabulary at once.
-_TOGETHER = 2_000
 
 #: Leading UTF-8 bytes of letters, by script.
 SCRIPTS = {
@@ -131,31 +129,11 @@ def rank_vocabulary(ranks: bytes) -> Vocabulary:
 
     table = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, ranks.splitlines())}
     coder = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
-    size = max(table.values()) + 1
-    is_byte, lengths = np.zeros(size, bool), np.zeros(size, np.int64)
-    ranked = np.fromiter(table.values(), np.int64, len(table))
-    lengths[ranked] = np.fromiter(map(len, table), np.int64, len(table))
+    is_byte = np.zeros(max(table.values()) + 1, bool)
     is_byte[[rank for token, rank in table.items() if len(token) == 1 and token[0] >= 0x80]] = True
-
-    def encode(words: list[str]) -> list[list[int]]:
-        """Words are split where a blank stands, so many can be given at once and told apart by their
-        lengths; those with white space of another kind in them are given alone."""
-        found: list[list[int]] = [[]] * len(words)
-        together = [k for k, word in enumerate(words) if len(word.split()) == 1 and word == word.strip()]
-        for first in range(0, len(together), _TOGETHER):
-            numbers = together[first : first + _TOGETHER]
-            ids = coder.encode_ordinary("".join([f" {words[k]}" for k in numbers]))
-            ends = np.cumsum([len(words[k].encode()) + 1 for k in numbers])
-            cuts = np.searchsorted(np.cumsum(lengths[ids]), ends, side="left") + 1
-            begin = 0
-            for k, cut in zip(numbers, cuts.tolist()):
-                found[k] = ids[begin:cut]
-                begin = cut
-        for k in set(range(len(words))).difference(together):
-            found[k] = coder.encode_ordinary(f" {words[k]}")
-        return found
-
-    return Vocabulary(encode, size, is_byte)
+    return Vocabulary(
+        lambda words: [coder.encode_ordinary(f" {word}") for word in words], len(is_byte), is_byte
+    )
 
 
 class Measures:
