@@ -143,25 +143,37 @@ class Measures:
         self.vocabularies = {"": piece_vocabulary(model)}
         if ranks is not None:
             self.vocabularies[SECOND] = rank_vocabulary(ranks)
-        self.coders = {name: PieceCoder(v.encode, REMEMBERED) for name, v in self.vocabularies.items()}
+        self.coder = PieceCoder(self._encode, REMEMBERED)
+
+    def _encode(self, words: list[str]) -> list[list[int]]:
+        """The ids of all vocabularies for each word, those of a later one beyond those of the first."""
+        first, *others = self.vocabularies.values()
+        found = first.encode(words)
+        for other in others:
+            found = [a + [first.size + i for i in b] for a, b in zip(found, other.encode(words))]
+        return found
 
     def __call__(self, texts: pa.Array) -> dict[str, pa.Array]:
         flat = Texts(texts)
         words = flat.words()
         found = base_counts(flat, words)
-        for name in self.vocabularies:
-            found |= {f"{name}{k}": v for k, v in self._fertility(name, flat, words).items()}
+        owner, start, end = words
+        where = self.coder.places(flat, start, end)
+        sizes = self.coder.sizes[where]
+        ids = self.coder.ids[ragged(self.coder.starts[where], sizes)]
+        text_of = np.repeat(owner, sizes)
+        size = self.vocabularies[""].size
+        for name, vocabulary in self.vocabularies.items():
+            own, shift = (ids >= size, size) if name else (ids < size, 0)
+            measures = self._fertility(vocabulary, flat, text_of[own], ids[own] - shift)
+            found |= {f"{name}{k}": v for k, v in measures.items()}
         arrays = {k: pa.array(v, pa.float64() if v.dtype.kind == "f" else pa.int64()) for k, v in found.items()}
         arrays["script"] = pa.array(self._scripts(flat), pa.string())
         return arrays
 
-    def _fertility(self, name: str, flat: Texts, words: tuple) -> dict[str, np.ndarray]:
-        owner, start, end = words
-        vocabulary, coder = self.vocabularies[name], self.coders[name]
-        where = coder.places(flat, start, end)
-        sizes = coder.sizes[where]
-        ids = coder.ids[ragged(coder.starts[where], sizes)]
-        text_of = np.repeat(owner, sizes)
+    def _fertility(
+        self, vocabulary: Vocabulary, flat: Texts, text_of: np.ndarray, ids: np.ndarray
+    ) -> dict[str, np.ndarray]:
         tokens = np.bincount(text_of, minlength=flat.count)
         in_bytes = np.bincount(text_of[vocabulary.is_byte[ids]], minlength=flat.count)
         return {
