@@ -23,7 +23,8 @@ def read_array_files(spark: SparkSession, path: str, glob: str = "*") -> DataFra
     A file is one array, however it is laid out, or documents one after another. The elements of an
     array are its documents, also those that are no objects. Where the text between two documents
     cannot be read, it stays one document as it is, for whoever loads it to reject; the others of its
-    file are not touched. Empty files and arrays have no documents.
+    file are not touched, unless a quote or bracket is missing: then what follows, to the end of the file
+    at worst, is one such document in one task. Empty files and arrays have no documents.
     """
     pieces = materialize(_with_running_sums(_pieces(spark, path, glob)), "array-pieces")
     blocks = pieces.groupBy(*_BLOCK).agg(
