@@ -204,13 +204,15 @@ def build_practitioner_role(spark, sf_dir):
 def copies(spark, sf_dir, name: str, key: str):
     """Numbered copies of the practices, one for every row of the named table by its place, with that row.
 
-    The share is rounded up, so the last practices may have fewer copies, and no row is left out.
+    The share is rounded up, so the last practices may have fewer copies, and no row is left out. Both sides
+    grow with the table. Spark takes the copies for as small as the practices they come from, so the hint
+    keeps them from being collected and broadcast.
     """
     named = with_ordinal(d.table(spark, sf_dir, name), [key], "place")
     practices = d.table(spark, sf_dir, "supplier").agg(F.count("*")).scalar()
     total = d.table(spark, sf_dir, name).agg(F.count("*")).scalar()
     rows = build.numbered_copies(d.register(spark, sf_dir), F.ceil(total / practices))
-    return rows.join(named, F.col("counter") == F.col("place"))
+    return rows.hint("merge").join(named, F.col("counter") == F.col("place"))
 
 
 def copies_sql(name: str, key: str) -> str:
