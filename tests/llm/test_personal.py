@@ -156,3 +156,15 @@ def test_no_marks_no_tagger(spark):
     docs = spark.createDataFrame([(1, "plain words"), (2, None)], "doc_id int, text string")
     assert personal.fit(docs) is None
     assert [r["spans"] for r in personal.report(docs).collect()] == ["", ""]
+
+
+def test_like_reading_every_window(fitted, monkeypatch):
+    """Places without a digit or at sign are read where an address may be written out, and spans to their ends."""
+    model, texts = fitted
+    plain = "please mail bob.smith(at)mail.example.com thanks"
+    some = [plain, "word " * 40 + plain, "we met at noon. The day was fine", *texts[:30]]
+    found = by_tagger(model, some)
+    assert ("email", plain.index("bob"), plain.index(" thanks")) in found[0] and found[1]
+    near = personal.tagged
+    monkeypatch.setattr(personal, "tagged", lambda m, points, starts, _: near(m, points, starts, np.arange(len(points))))
+    assert found == by_tagger(model, some)

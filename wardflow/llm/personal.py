@@ -213,15 +213,19 @@ def _other_numbers(text: str, draw: random.Random) -> str:
 
 # --- finding ---------------------------------------------------------------------------------------
 
-_AT = re.compile(r"@|\bat\b", re.I)
 _DOT = re.compile(r"\.|\bdot\b", re.I)
+#: A written-out sign, a word of the host and its dot.
+_SAID = re.compile(r"\bat\b\W{0,3}[\w-]+(?:\.[\w-]|\W{0,3}\bdot\b)", re.I)
 
 
 def _believable(kind: str, text: str) -> bool:
     """Whether a span of the tagger could be what it is taken for, however it is spelled."""
     if kind == "email":
-        sign = _AT.search(text)
-        return bool(sign and sign.start() and _DOT.search(text, sign.end()))
+        sign = text.find("@")
+        if sign >= 0:
+            return sign > 0 and bool(_DOT.search(text, sign + 1))
+        said = _SAID.search(text)
+        return bool(said and said.start())
     if kind == "phone":
         return bool(re.search(r"[ ().+-]", text)) and 10 <= len(_digits(text)) <= 15
     return {"ip": _is_ip, "card": _is_card}[kind](text)
@@ -232,7 +236,9 @@ def _added(tagger: Tagger, texts: pa.Array, base: list[list[Span]]) -> None:
     strings = texts.to_pylist()
     points = np.frombuffer("".join(strings).encode("utf-32-le"), np.uint32)
     starts = np.concatenate([[0], np.cumsum([len(s) for s in strings])])
-    marks = np.flatnonzero((points >= 48) & (points <= 57) | (points == 64))
+    # What is believed holds a digit, an at sign, or one written out as ``_SAID`` has it.
+    said = np.array([int(at) + m.start() for at, text in zip(starts, strings) for m in _SAID.finditer(text)], np.int64)
+    marks = np.union1d(np.flatnonzero((points >= 48) & (points <= 57) | (points == 64)), said)
     more: dict[int, list[Span]] = {}
     for start, end, kind, chance in tagged(tagger, points, starts, marks):
         n = int(np.searchsorted(starts, start, side="right")) - 1

@@ -231,34 +231,56 @@ def _cut(parts: list[tuple[np.ndarray, np.ndarray]], draw: np.random.Generator)
     return x, y
 
 
+def _windows(starts: np.ndarray, places: np.ndarray, steps: tuple[int, ...]) -> np.ndarray:
+    """Text and number of the windows so many steps from that which begins in the stride of a place."""
+    owner = np.searchsorted(starts, places, side="right") - 1
+    grid = (places - starts[owner]) // STRIDE
+    found = np.unique(np.concatenate([np.stack([owner, grid + k], 1) for k in steps]), axis=0)
+    return found[(found[:, 1] >= -1) & (found[:, 1] * STRIDE < (starts[found[:, 0] + 1] - starts[found[:, 0]]))]
+
+
+def _numbered(windows: np.ndarray) -> np.ndarray:
+    """One number for a window's text and its own number, which is -1 at least."""
+    return (windows[:, 0] << 32) + windows[:, 1] + 1
+
+
 def tagged(
     tagger: Tagger, points: np.ndarray, starts: np.ndarray, marks: np.ndarray, at_once: int = 512
 ) -> Iterator[tuple[int, int, str, float]]:
     """Spans near marked places of texts that lie back to back: start, end, kind, mean chance.
 
     ``starts`` are the texts' starts and the end of the last. Windows stand ``STRIDE`` apart, counted
-    from each text's start; those within a window's length of a mark are read. No span crosses texts.
+    from each text's start; those within a window's length of a mark are read, then those that any
+    found span or its neighbours lie in, until there are no more. Spans that hold a mark are therefore
+    those that reading every window would give. No span crosses texts.
     """
     if not len(marks):
         return
-    owner = np.searchsorted(starts, marks, side="right") - 1
-    grid = (marks - starts[owner]) // STRIDE
-    wanted = np.unique(np.concatenate([np.stack([owner, grid + k], 1) for k in (-2, -1, 0, 1)]), axis=0)
-    wanted = wanted[(wanted[:, 1] >= -1) & (wanted[:, 1] * STRIDE < (starts[wanted[:, 0] + 1] - starts[wanted[:, 0]]))]
-    begin = starts[wanted[:, 0]] + wanted[:, 1] * STRIDE
-    places = begin[:, None] + np.arange(WIDTH)
-    inside = (places >= starts[wanted[:, 0]][:, None]) & (places < starts[wanted[:, 0] + 1][:, None])
-    covered = np.unique(places[inside])
-    total = np.zeros((len(covered), 2 * len(tagger.kinds) + 1), np.float32)
+    done = np.empty((0, 2), np.int64)
+    covered, total = np.empty(0, np.int64), np.empty((0, 2 * len(tagger.kinds) + 1), np.float32)
     weight = np.minimum(np.arange(1, WIDTH + 1), np.arange(WIDTH, 0, -1)).astype(np.float32)
-    classes = char_classes(points[covered])
-    for k in range(0, len(begin), at_once):
-        here, real = places[k : k + at_once], inside[k : k + at_once]
-        slot = np.searchsorted(covered, here)
-        slot[~real] = 0
-        x = np.where(real, classes[slot], NOTHING)
-        found = chances(tagger, x.astype(np.int64)) * weight[None, :, None]
-        np.add.at(total, slot[real], found[real])
+    wanted = _windows(starts, marks, (-2, -1, 0, 1))
+    while len(wanted):
+        done = np.concatenate([done, wanted])
+        begin = starts[wanted[:, 0]] + wanted[:, 1] * STRIDE
+        places = begin[:, None] + np.arange(WIDTH)
+        inside = (places >= starts[wanted[:, 0]][:, None]) & (places < starts[wanted[:, 0] + 1][:, None])
+        before, known = covered, total
+        covered = np.union1d(before, places[inside])
+        total = np.zeros((len(covered), known.shape[1]), np.float32)
+        total[np.searchsorted(covered, before)] = known
+        classes = char_classes(points[covered])
+        for k in range(0, len(begin), at_once):
+            here, real = places[k : k + at_once], inside[k : k + at_once]
+            slot = np.searchsorted(covered, here)
+            slot[~real] = 0
+            x = np.where(real, classes[slot], NOTHING)
+            found = chances(tagger, x.astype(np.int64)) * weight[None, :, None]
+            np.add.at(total, slot[real], found[real])
+        spoken = covered[total.argmax(axis=1) > 0]
+        around = np.unique(np.concatenate([spoken - 1, spoken, spoken + 1]))
+        wanted = _windows(starts, around[(around >= 0) & (around < len(points))], (-1, 0))
+        wanted = wanted[~np.isin(_numbered(wanted), _numbered(done))]
     total /= total.sum(axis=1, keepdims=True)
     label = total.argmax(axis=1)
     kind = (label + 1) // 2
