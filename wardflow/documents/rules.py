@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from wardflow import codes
 from wardflow.documents.flatten import at, is_malformed, open_documents, value
+from wardflow.sinks.files import write_apart
 
 SKIP = "skip"
 FAIL = "fail"
@@ -239,7 +240,7 @@ def write_checked(
         F.count_if(F.col("outcome") == "valid").alias("valid"),
         F.count_if(F.col("outcome") == "rejected").alias("rejected"),
     )
-    counted.write.mode("append").partitionBy("outcome").parquet(path)
+    write_apart(counted, "outcome", path, "append")
     return seen.get
 
 

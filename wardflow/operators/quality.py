@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wardflow.sinks.files import write_apart
+
 OUTCOME = "outcome"
 CLEAN = "clean"
 MISSING = "missing"
@@ -92,7 +94,7 @@ def _counted(flagged: DataFrame, path: str, mode: str) -> dict[str, int]:
         F.count_if(F.col(OUTCOME) == CLEAN).alias(CLEAN),
         F.count_if(F.col(OUTCOME) == MISSING).alias(MISSING),
     )
-    counted.write.mode(mode).partitionBy(OUTCOME).parquet(path)
+    write_apart(counted, OUTCOME, path, mode)
     return seen.get
 
 

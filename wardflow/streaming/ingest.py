@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wardflow.documents.flatten import Target, flatten, flatten_or_reject
 from wardflow.operators.quality import OUTCOME, has_missing
+from wardflow.sinks.files import write_apart
 from wardflow.sources.files import explode_arrays
 from wardflow.sources.history import load_files
 from wardflow.sources.messages import CORRUPT, PLACE, UNDECODABLE, decode_messages, set_undecodable_apart
@@ -189,7 +190,7 @@ def ingest_messages(
         outcome = F.when(F.col(UNDECODABLE).isNotNull(), "undecodable").when(flag, "missing").otherwise("clean")
         parted = decoded.withColumn(OUTCOME, outcome)
         target = f"{path}/batch_id={batch_id}"
-        parted.write.mode("overwrite").partitionBy(OUTCOME).parquet(target)
+        write_apart(parted, OUTCOME, target, "overwrite")
         if audit:
             written = batch.sparkSession.read.parquet(target)
             rejected = written.withColumn("_rejected", F.col(OUTCOME) != "clean")
