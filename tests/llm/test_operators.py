@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import weakref
 from collections import Counter
 
 import numpy as np
@@ -15,6 +16,7 @@ from tokenizers import Tokenizer
 from tests.llm import brute
 from wardflow.llm import (
     bpe,
+    common,
     components,
     decontaminate,
     fertility,
@@ -244,3 +246,39 @@ def test_slices_hold_whole_texts():
     assert owner.tolist() == [0, 0, 2, 3, 3]
     prints = flat.fingerprints(start, end)
     assert prints[0] == prints[2] == prints[4] and prints[1] == prints[3] != prints[0]
+
+
+def test_tasks_give_their_memory_back(spark, tmp_path, monkeypatch):
+    """Encoders refer to themselves, so idle workers would hold them."""
+    ended = str(tmp_path / "ended")
+
+    def noted():
+        with open(ended, "w") as file:
+            file.write("ended")
+
+    monkeypatch.setattr(common, "release_memory", noted)
+
+    def compute():
+        return lambda texts: {"n": pa.array([len(t) for t in texts.to_pylist()], pa.int64())}
+
+    rows = spark.createDataFrame([(1, "word")], DOCS).coalesce(1)
+    assert [r["n"] for r in common.map_texts(rows, "text", "n long", compute).collect()] == [4]
+    assert (tmp_path / "ended").exists()
+
+
+def test_released_memory_includes_what_refers_to_itself():
+    vocabulary = bpe.Vocabulary.read(public_tokenizers.path("word_bpe_49k.json"))
+    encoder = bpe.WordEncoder(vocabulary)
+    held = weakref.ref(encoder)
+    del encoder
+    common.release_memory()
+    assert held() is None
+
+
+def test_unusual_texts_are_split_without_the_tokens():
+    vocabulary = bpe.Vocabulary.read(public_tokenizers.path("word_bpe_49k.json"))
+    encoder, library = bpe.WordEncoder(vocabulary), Tokenizer.from_str(vocabulary.source)
+    assert encoder.library.get_vocab_size() == 0
+    texts = ["don't<|endoftext|> ½ ٣٤ 🫠 Á", "ΑΣ \U0001fae8 x​y ｆｕｌｌ Ⅷ", "plain"]
+    found = encoder(pa.array(texts, pa.large_string())).to_pylist()
+    assert found == [library.encode(t, add_special_tokens=False).ids for t in texts]

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardflow.llm.common import bounded_batches, map_texts
+from wardflow.llm.common import bounded_batches, map_texts, release_memory
 from wardflow.llm.presplit import PieceCoder, Pieces
 
 WORD_END = "</w>"
@@ -58,6 +58,12 @@ class Vocabulary:
         specials = {t["content"]: t["id"] for t in found["added_tokens"]}
         return cls(found["model"]["vocab"], tuple(map(tuple, pairs)), specials, source)
 
+    def splitting(self) -> str:
+        """The tokenizer file with its normalizer and its splitting, but without tokens and merges."""
+        found = json.loads(self.source)
+        found["model"] |= {"vocab": {}, "merges": [], "unk_token": None}
+        return json.dumps(found | {"added_tokens": [], "post_processor": None, "truncation": None, "padding": None})
+
     def labels(self) -> list[str]:
         every = self.tokens | self.specials
         names = [""] * (max(every.values()) + 1)
@@ -166,7 +172,8 @@ class WordEncoder:
         self.specials = vocabulary.specials
         names = sorted(map(re.escape, self.specials), key=len, reverse=True)
         self.special_pattern = re.compile("|".join(names)) if names else None
-        self.library = Tokenizer.from_str(vocabulary.source)  # only to split unusual texts
+        # Only to split unusual texts, for which it needs no tokens.
+        self.library = Tokenizer.from_str(vocabulary.splitting())
 
     def _encode_pieces(self, pieces: list[str]) -> list[list[int]]:
         encode, letters = self.automaton.encode, _LETTERS
@@ -257,5 +264,6 @@ def decode(
             ]
             columns = [batch.column(c) for c in range(len(kept))]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], names=[*kept, into])
+        release_memory()
 
     return source.mapInArrow(run, schema)

@@ -25,7 +25,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wardflow.llm.arrays import Texts, _powers, bounds, mixed, slices, windows
-from wardflow.llm.common import bounded_batches, map_texts
+from wardflow.llm.common import bounded_batches, map_texts, release_memory
 from wardflow.llm.components import connected
 from wardflow.session import materialize
 
@@ -171,6 +171,7 @@ def _full_entries(texts: DataFrame, words: int, percent: int) -> DataFrame:
                 values = np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)
                 arrays = [pa.array(values), pa.array(nodes, pa.int64()), pa.array(np.repeat(sizes, sizes), pa.int64())]
                 yield pa.RecordBatch.from_arrays(arrays, names=["value", "node", "n"])
+        release_memory()
 
     held = materialize(texts.select("node", "text").mapInArrow(run, "value bigint, node bigint, n bigint"), "near-full")
     lists = held.groupBy("value").agg(F.count("*").alias("df")).filter("df > 1")
@@ -217,6 +218,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
                         common = len(x) + len(y) - len(np.union1d(x, y))
                         links.append(100 * common >= percent * (len(x) + len(y) - common))
                     yield rows.select(["a", "b"]).filter(pa.array(links, pa.bool_()))
+        release_memory()
 
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint")
 

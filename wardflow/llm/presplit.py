@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 
-from wardflow.llm.arrays import _powers, letter_kinds, mixed, ragged
+from wardflow.llm.arrays import SLICE_BYTES, _powers, letter_kinds, mixed, ragged
 
 LETTER, NUMBER, SPACE = 1, 2, 3
 #: Endings that stay with their apostrophe (fixed values of the public patterns).
@@ -92,12 +92,16 @@ class Pieces:
 
     def fingerprints(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         n = len(self.codes)
-        if len(_UP[0]) <= n:
+        up, down = _UP[0], _DOWN[0]
+        if len(up) <= n:
             inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
-            _UP[0], _DOWN[0] = _powers(_BASE, 2 * n + 1), _powers(inverse, 2 * n + 1)
+            size = max(n, SLICE_BYTES) + 1
+            up, down = _powers(_BASE, size), _powers(inverse, size)
+            if n <= SLICE_BYTES:  # those of a huge text are not kept
+                _UP[0], _DOWN[0] = up, down
         sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_CODE_VALUES[self.codes] * _UP[0][:n], out=sums[1:])
-        value = (sums[end] - sums[start]) * _DOWN[0][start]
+        np.cumsum(_CODE_VALUES[self.codes] * up[:n], out=sums[1:])
+        value = (sums[end] - sums[start]) * down[start]
         return mixed(value + (end - start).astype(np.uint64))
 
     def string(self, start: int, end: int) -> str:
