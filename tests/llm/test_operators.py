@@ -282,3 +282,26 @@ def test_unusual_texts_are_split_without_the_tokens():
     texts = ["don't<|endoftext|> ½ ٣٤ 🫠 Á", "ΑΣ \U0001fae8 x​y ｆｕｌｌ Ⅷ", "plain"]
     found = encoder(pa.array(texts, pa.large_string())).to_pylist()
     assert found == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_a_workers_next_task_knows_its_pieces(monkeypatch):
+    source = bpe.Vocabulary.read(public_tokenizers.path("byte_bpe_50k.json")).source
+    first = token_files.kept_encoder(source)
+    texts = pa.array(["rain over the river, 42 stones", "", "niño's 日本 ½"], pa.large_string())
+    ids, sizes = first(texts)
+    monkeypatch.setattr(first.coder, "encode", lambda strings: pytest.fail("encoded again"))
+    again, same = token_files.kept_encoder(source)(texts)
+    assert again.tolist() == ids.tolist() and same.tolist() == sizes.tolist()
+    library = Tokenizer.from_str(source)
+    assert ids.tolist() == [i for t in texts.to_pylist() for i in library.encode(t, add_special_tokens=False).ids]
+
+
+def test_kept_encoders_forget_when_they_know_too_much(monkeypatch):
+    monkeypatch.setattr(token_files, "PIECES", 3)
+    source = bpe.Vocabulary.read(public_tokenizers.path("byte_bpe_50k.json")).source
+    encoder = token_files.ByteLevelEncoder(bpe.Vocabulary.parse(source))
+    library = Tokenizer.from_str(source)
+    for text in ("one two three four", "five six", "one seven one"):
+        found = encoder(pa.array([text], pa.large_string()))[0].tolist()
+        assert found == library.encode(text, add_special_tokens=False).ids
+    assert len(encoder.coder.known) < 8

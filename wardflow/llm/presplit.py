@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from itertools import chain
 
 import numpy as np
 
@@ -23,8 +24,8 @@ class Pieces:
     """Texts back to back as code points, cut into pieces."""
 
     def __init__(self, texts: Sequence[str]):
-        joined = "".join(texts)
-        self.codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+        self.joined = "".join(texts)
+        self.codes = np.frombuffer(self.joined.encode("utf-32-le"), np.uint32)
         lengths = np.fromiter(map(len, texts), np.int64, len(texts))
         self.starts = np.concatenate([[0], np.cumsum(lengths)])
         kinds, settled = letter_kinds()
@@ -105,7 +106,7 @@ class Pieces:
         return mixed(value + (end - start).astype(np.uint64))
 
     def string(self, start: int, end: int) -> str:
-        return self.codes[start:end].tobytes().decode("utf-32-le")
+        return self.joined[start:end]
 
 
 class PieceCoder:
@@ -119,13 +120,16 @@ class PieceCoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.known: dict[int, int] = {}
+        #: Fingerprints of the pieces in ascending order, and the number of each.
+        self.known = np.zeros(0, np.uint64)
+        self.numbers = np.zeros(0, np.int64)
         self.ids = np.zeros(1 << 20, np.int32)
         self.used = 0
         self.starts = np.zeros(1 << 18, np.int64)
         self.sizes = np.zeros(1 << 18, np.int64)
 
-    def _learn(self, keys: list[int], lists: list[list[int]]) -> None:
+    def _learn(self, keys: np.ndarray, before: np.ndarray, lists: list[list[int]]) -> None:
+        """Take in new ``keys``, which ascend; ``before`` is where each belongs among the known."""
         count, total = len(self.known), sum(map(len, lists))
         while self.used + total > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
@@ -133,11 +137,12 @@ class PieceCoder:
             self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
             self.sizes = np.concatenate([self.sizes, np.zeros_like(self.sizes)])
         sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.fromiter((i for found in lists for i in found), np.int32, total)
+        flat = np.fromiter(chain.from_iterable(lists), np.int32, total)
         self.ids[self.used : self.used + total] = flat
         self.starts[count : count + len(keys)] = self.used + np.cumsum(sizes) - sizes
         self.sizes[count : count + len(keys)] = sizes
-        self.known.update(zip(keys, range(count, count + len(keys))))
+        self.known = np.insert(self.known, before, keys)
+        self.numbers = np.insert(self.numbers, before, np.arange(count, count + len(keys)))
         self.used += total
 
     def places(self, pieces: Pieces, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -146,14 +151,16 @@ class PieceCoder:
             self._clear()
         prints = pieces.fingerprints(start, end)
         distinct, first, which = np.unique(prints, return_index=True, return_inverse=True)
-        keys = distinct.tolist()
-        absent = [k for k, key in enumerate(keys) if key not in self.known]
-        if absent:
+        before = np.searchsorted(self.known, distinct)
+        absent = np.ones(len(distinct), bool)
+        inside = before < len(self.known)
+        absent[inside] = self.known[before[inside]] != distinct[inside]
+        if absent.any():
             at = first[absent]
             strings = [pieces.string(s, e) for s, e in zip(start[at].tolist(), end[at].tolist())]
-            self._learn([keys[k] for k in absent], self.encode(strings))
-        found = np.fromiter(map(self.known.__getitem__, keys), np.int64, len(keys))
-        return found[which]
+            self._learn(distinct[absent], before[absent], self.encode(strings))
+            before = np.searchsorted(self.known, distinct)
+        return self.numbers[before][which]
 
     def code(
         self, pieces: Pieces, start: np.ndarray, end: np.ndarray

@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,8 @@ SHARD_IDS = 3_000_000
 END_ID = 2
 #: New words that the library gets in one text.
 TOGETHER = 500
+#: Pieces a worker remembers before it starts over.
+PIECES = 800_000
 
 FILE_SCHEMA = (
     "part int, seq int, base int, doc_ids array<bigint>, sizes array<int>, symbol_counts array<int>, "
@@ -47,7 +50,7 @@ class ByteLevelEncoder:
         self.library = Tokenizer.from_str(vocabulary.source)
         self.library.no_truncation()
         self.library.no_padding()
-        self.coder = PieceCoder(self._encode)
+        self.coder = PieceCoder(self._encode, PIECES)
         self.specials = list(vocabulary.specials)
         # In a byte-level vocabulary the length of a token's name is its length in bytes.
         self.lengths = np.array([len(name) for name in vocabulary.labels()])
@@ -87,6 +90,12 @@ class ByteLevelEncoder:
         return ids, sizes
 
 
+@lru_cache(maxsize=1)
+def kept_encoder(source: str) -> ByteLevelEncoder:
+    """The encoder of a tokenizer file; a worker's next task goes on with it and with the pieces it knows."""
+    return ByteLevelEncoder(Vocabulary.parse(source))
+
+
 def write_ids(
     docs: DataFrame,
     vocabulary: Vocabulary,
@@ -113,7 +122,7 @@ def write_ids(
     ordered = rows.repartitionByRange(parts, "doc_id", tie).sortWithinPartitions("doc_id", tie)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ByteLevelEncoder(Vocabulary.parse(shared.value))
+        encoder = kept_encoder(shared.value)
         part, seq = TaskContext.get().partitionId(), 0
         open_ids: list[np.ndarray] = []
         open_sizes: list[np.ndarray] = []
