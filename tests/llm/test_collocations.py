@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.brute import SMALL
 from wardflow.llm import collocations, fm_index
@@ -76,6 +77,41 @@ def test_other_settings(spark):
     assert Counter(tuple(r) for r in found) == plain(rows, 3, 15, 50)
 
 
+def test_many_groups_of_shards(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "GROUP_WORDS", 1500)
+    rows = odd_rows()
+    found = collocations.mine(as_docs(spark, rows, 7), least=3).drop("n_left", "n_right").collect()
+    assert Counter(tuple(r) for r in found) == plain(rows, 3)
+
+
+def test_shards_of_a_language_in_groups(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "GROUP_WORDS", 100)
+    draw = random.Random(5)
+    rows = [(k << 32 | k % 3, draw.choice("ab"), draw.choice([1, 30, 60, 99, 100, 350])) for k in range(60)]
+    numbers = collocations.shard_numbers(spark.createDataFrame(rows, "shard long, lang string, n long"))
+    assert numbers.select("number").distinct().count() == 60
+    found = dict(numbers.select("shard", collocations.group_of(F.col("number"))).collect())
+    assert set(found) == {shard for shard, _, _ in rows}
+    held = defaultdict(list)
+    for shard, lang, n in sorted(rows):
+        held[found[shard]].append((shard, lang, n))
+    for shards in held.values():
+        assert len({lang for _, lang, _ in shards}) == 1
+        assert sum(n for _, _, n in shards[:-1]) < 100
+    assert max(map(len, held.values())) > 1 and len(held) > 10
+
+
+def test_fours_leave_a_group_once(spark, monkeypatch):
+    """However many shards hold a phrase of four words, a group of them counts it in one row."""
+    made, count_fours = [], collocations.count_fours
+    monkeypatch.setattr(collocations, "count_fours", lambda *a: made.append(count_fours(*a)) or made[-1])
+    rows = [(f"one two three four five {k % 9}", lang) for lang in ("en", "de") for k in range(240)]
+    found = collocations.mine(as_docs(spark, rows, 12)).drop("n_left", "n_right").collect()
+    assert Counter(tuple(r) for r in found) == plain(rows)
+    sums = Counter(tuple(r)[:4] for r in made[0].collect())
+    assert len(sums) >= 4 and set(sums.values()) == {1}
+
+
 def test_no_words(spark):
     assert collocations.mine(as_docs(spark, [(None, "en"), ("", None), (" .. ", "x")], 1)).collect() == []
     assert collocations.mine(as_docs(spark, odd_rows(), 1).filter("false")).collect() == []

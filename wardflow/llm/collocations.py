@@ -3,7 +3,8 @@
 Every task packs its texts into shards of one language and indexes each. No text is read again: phrases
 grow in the indexes, level by level. A phrase reaches the least count only if its parts do, with a word
 beside them; so after each level the shards are told which of their phrases have that count of words to
-their left and to their right over all shards, and extend only these.
+their left and to their right over all shards, and extend only these. Phrases of four words leave a task
+summed over a group of shards of one language.
 """
 
 from __future__ import annotations
@@ -21,12 +22,15 @@ from pyspark.sql import functions as F
 
 from wardflow.llm import fm_index
 from wardflow.llm.arrays import Texts, mixed, slices
-from wardflow.llm.common import bounded_batches
+from wardflow.llm.common import bounded_batches, release_memory
 from wardflow.session import materialize
 
 #: Words of one shard, and of all shards that a task has open; a longer text is not cut.
 SHARD_WORDS, OPEN_WORDS = 2_000_000, 3_000_000
 
+#: Words of the shards whose phrases of four words are summed in one task; a single shard may have more.
+GROUP_WORDS = 16_000_000
+
 #: Rows that leave a task at once.
 OUT_ROWS = 100_000
 
@@ -134,6 +138,7 @@ def index(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Da
             if left.n:
                 yield left.row(number)
                 number += 1
+        release_memory()
 
     rows = docs.select(F.col(f"`{text_col}`").alias("text"), F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"))
     return rows.mapInArrow(run, SHARDS)
@@ -147,10 +152,20 @@ def phrase_hash(columns: list[np.ndarray]) -> np.ndarray:
     return found
 
 
+def _told_hashes(told: pa.Table) -> dict[tuple[int, str], np.ndarray]:
+    """By length and side, the sorted hashes of the phrases told to have the least count of words there."""
+    found = {}
+    for width in (2, 3):
+        for side in ("left", "right"):
+            rows = told.filter(pc.and_(pc.equal(told.column("width"), width), told.column(side)))
+            found[width, side] = np.sort(phrase_hash([rows.column(k).to_numpy().view(np.uint64) for k in _keys(width)]))
+    return found
+
+
 class _Index:
-    """One shard in a task, with the phrases that are frequent over all shards."""
+    """One shard in a task, with the hashes of the phrases that are frequent over all shards."""
 
-    def __init__(self, row: dict, told: pa.Table | None = None):
+    def __init__(self, row: dict, told: dict[tuple[int, str], np.ndarray] | None = None):
         self.shard, self.keys = row["shard"], np.array(row["keys"], np.int64).view(np.uint64)
         self.front = fm_index.Side(fm_index.unpacked(row["front"], row["n"]))
         self.back = fm_index.Side(fm_index.unpacked(row["back"], row["n"]))
@@ -162,9 +177,7 @@ class _Index:
     def chosen(self, phrases: fm_index.Phrases, side: str) -> fm_index.Phrases:
         """Those told to have the least count of words on one side. They are met by their hashes; one phrase
         too many does no harm, as whatever grows from it is counted by its keys."""
-        width = phrases.words.shape[1]
-        rows = self.told.filter(pc.and_(pc.equal(self.told.column("width"), width), self.told.column(side)))
-        frequent = np.sort(phrase_hash([rows.column(k).to_numpy().view(np.uint64) for k in _keys(width)]))
+        frequent = self.told[phrases.words.shape[1], side]
         if not len(frequent):
             return phrases.only(np.zeros(len(phrases), bool))
         hashes = phrase_hash(self.columns(phrases))
@@ -223,16 +236,44 @@ def _pairs_of_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         for row in _rows(batch):
             held = _Index(row)
             yield from held.counted(held.pairs()).to_batches(max_chunksize=OUT_ROWS)
+            del held
+    release_memory()
 
 
 def _triples_of_shard(shard: pa.Table, told: pa.Table) -> pa.Table:
-    found = [held.counted(held.triples()) for held in (_Index(row, told) for row in _rows(shard))]
+    frequent = _told_hashes(told)
+    found = [held.counted(held.triples()) for held in (_Index(row, frequent) for row in _rows(shard))]
     return pa.concat_tables([_counted_schema(3).empty_table(), *found])
 
 
-def _fours_of_shard(shard: pa.Table, told: pa.Table) -> pa.Table:
-    found = [held.counted(held.fours()) for held in (_Index(row, told) for row in _rows(shard))]
-    return pa.concat_tables([_counted_schema(4).empty_table(), *found])
+def _fours_of_group(shards: pa.Table, told: pa.Table) -> pa.Table:
+    """One row per phrase of the group, whose shards are opened one at a time."""
+    frequent = _told_hashes(told)
+    found = _counted_schema(4).empty_table().drop_columns("shard")
+    for row in _rows(shards):
+        held = _Index(row, frequent)
+        found = _summed(pa.concat_tables([found, held.counted(held.fours()).drop_columns("shard")]), 4)
+    release_memory()
+    return found
+
+
+def _summed(counted: pa.Table, width: int) -> pa.Table:
+    sums = counted.group_by(_keys(width), use_threads=False).aggregate([(c, "sum") for c in _SUMS])
+    return sums.select([*_keys(width), *(f"{c}_sum" for c in _SUMS)]).rename_columns(counted.column_names)
+
+
+def shard_numbers(shards: DataFrame) -> DataFrame:
+    """New numbers of shards, from which ``group_of`` tells their group: shards of one language, of which only
+    the last begins within ``GROUP_WORDS`` and may end beyond. One small row per shard is numbered."""
+    before = F.sum("n").over(Window.partitionBy("lang").orderBy("shard")) - F.col("n")
+    rows = shards.select("shard", "lang", F.floor(before / GROUP_WORDS).alias("part"))
+    group = F.dense_rank().over(Window.orderBy("lang", "part")).cast("long")
+    place = F.row_number().over(Window.partitionBy("lang", "part").orderBy("shard"))
+    return rows.select("shard", (F.shiftleft(group, 32) + place).alias("number"))
+
+
+def group_of(number: Column) -> Column:
+    return F.shiftright(number, 32)
 
 
 def _frequent(counted: DataFrame, width: int, least: int, label: str) -> DataFrame:
@@ -267,18 +308,27 @@ def _one_row_each(phrases: DataFrame, width: int) -> DataFrame:
 def count_phrases(shards: DataFrame, least: int = LEAST) -> DataFrame:
     """All phrases of 2 to 4 words that occur ``least`` times: keys of their words, count, and how often a
     word stands before and after them in the same piece."""
-    shards = shards.select("shard", "n", "front", "back", "keys")
+    numbers = materialize(shard_numbers(shards), "phrase-shard-numbers")
+    shards = shards.join(numbers, "shard").select(F.col("number").alias("shard"), "n", "front", "back", "keys")
     pairs = _frequent(shards.mapInArrow(_pairs_of_shards, _counted_ddl(2)), 2, least, "frequent-pairs")
     told = _growing(pairs, 2, least)
     triples = shards.groupBy("shard").cogroup(told.groupBy("shard")).applyInArrow(_triples_of_shard, _counted_ddl(3))
     triples = _frequent(triples, 3, least, "frequent-triples")
     told = told.unionByName(_growing(triples, 3, least))
-    fours = shards.groupBy("shard").cogroup(told.groupBy("shard")).applyInArrow(_fours_of_shard, _counted_ddl(4))
+    fours = count_fours(shards, told)
     fours = fours.groupBy(*_keys(4)).agg(*[F.sum(c).alias(c) for c in _SUMS]).filter(F.col("a") >= least)
     found = _one_row_each(pairs, 2).unionByName(_one_row_each(triples, 3))
     return found.unionByName(fours.select(F.array(*_keys(4)).alias("keys"), *_SUMS))
 
 
+def count_fours(shards: DataFrame, told: DataFrame) -> DataFrame:
+    """Phrases of four words that may be frequent: a row per phrase and group that holds it."""
+    told = told.withColumn("shard", group_of(F.col("shard"))).distinct()
+    shards = shards.groupBy(group_of(F.col("shard")).alias("group"))
+    kinds = ", ".join(f"{c} long" for c in (*_keys(4), *_SUMS))
+    return shards.cogroup(told.groupBy("shard")).applyInArrow(_fours_of_group, kinds)
+
+
 def word_counts(shards: DataFrame) -> DataFrame:
     """Each language's words with their keys and counts. Two words of one key, which are not to be
     expected, would be an error here."""
